@@ -47,6 +47,11 @@ def discard(df: DataFrame | None, spark: SparkSession) -> None:
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts are long: fewer of them at a time to Python workers, from here on in this session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array; null and blank texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")

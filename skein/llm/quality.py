@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from .common import materialize, slices
+from .common import materialize, slices, small_batches
 
 FOLDS, THRESHOLD = 5, 0.3
 #: Shrinkage towards the own diagonal and towards the pooled covariance; least variance of a statistic.
@@ -141,6 +141,7 @@ def held_out(doc_id: Column) -> Column:
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted and key, a hash of the text, for every row of docs."""
+    small_batches(docs.sparkSession)
     rows = materialize(docs.select("doc_id", F.xxhash64("text").alias("key"), statistics_of(F.col("text")).alias("x")), docs.sparkSession)
     marks = labels.where(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").alias("label"))
     model = fit(rows.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()).join(marks, "doc_id"))
@@ -150,6 +151,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that the classifier predicts as 1."""
+    small_batches(docs.sparkSession)
     rows = docs.withColumn("_x", statistics_of(F.col("text")))
     marks = labels.where(F.col("quality").isin(0, 1)).select(F.col("doc_id").alias("_id"), F.col("quality").alias("label"))
     train = docs.select("doc_id", "text").where(~held_out(F.col("doc_id"))).join(marks, F.col("doc_id") == F.col("_id")).select("label", statistics_of(F.col("text")).alias("x"))

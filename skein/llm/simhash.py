@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import discard, hex16, materialize, slices
+from .common import discard, hex16, materialize, slices, small_batches
 from .components import components
 
 HOT_BUCKET, FANOUT, DISTANCE = 4096, 16, 2
@@ -181,6 +181,7 @@ def hamming_links(codes: DataFrame, column: str = "fp") -> DataFrame:
 
 def _classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(rows, classes): doc_id and fp of each row of docs; fp, root and component_id of each distinct fingerprint."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     prints = materialize(docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col)).alias("fp")), spark)
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), spark)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import materialize, slices
+from .common import materialize, slices, small_batches
 
 RUN, LEAST_WORDS = 3, 12
 SENTENCE = re.compile(r"(?<=[.!?\n])(?=[^.!?\n])")
@@ -72,6 +72,7 @@ def _without(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """doc_id, text without repeated runs, n_sentences_removed, for every row of docs."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
     found = rows.select("doc_id", "key", F.explode(_runs(F.col("text"))).alias("r")).select(F.col("r.run").alias("run"), "doc_id", "key", F.col("r.at").alias("at"))
