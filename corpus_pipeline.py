@@ -36,8 +36,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, ids, n_tokens, and whether the ids decode to the text."""
-    ids = bpe.encode(docs.select("doc_id", "source", "text"), VOCABULARY, public_tokenizers.PATTERN)
-    both = bpe.decode(ids, VOCABULARY, public_tokenizers.PATTERN)
+    both = bpe.encode_and_decode(docs.select("doc_id", "source", "text"), VOCABULARY, public_tokenizers.PATTERN)
     return both.select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"))
 
 

@@ -14,8 +14,10 @@ with a heap instead of the recursive query (one query step per contraction is qu
 from __future__ import annotations
 
 import base64
+import functools
 import heapq
 import re
+import sys
 from collections.abc import Iterator
 
 import duckdb
@@ -25,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, small_batches
 
 #: Bytes of a word from which a heap replaces the recursive query.
 LONG_WORD = 512
@@ -91,10 +93,9 @@ class Codec:
         self.single = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
         if (self.single < 0).any():
             raise ValueError("a byte-level vocabulary holds all 256 single bytes")
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
         triples = [(left, right, rank) for token, rank in ranks.items() for i in range(1, len(token)) if (left := ranks.get(token[:i])) is not None and (right := ranks.get(token[i:])) is not None]
         left, right, rank = np.array(triples or np.empty((0, 3)), np.int64).T
-        self.merges = dict(zip(zip(left.tolist(), right.tolist(), strict=True), rank.tolist(), strict=True))
         arrow = pa.table({"pair": left * 2097152 + right, "rank": rank})
         self.db.register("arrow_merges", arrow)
         self.db.execute("CREATE TABLE merges AS FROM arrow_merges")
@@ -113,7 +114,7 @@ class Codec:
         self.first, self.later = _Numbers(self.fresh), _Numbers(self.fresh, " ")
         self.piece_starts = np.zeros(1, np.int64)
         self.piece_ids = np.zeros(0, np.int32)
-        self.word_ids: dict[str, np.ndarray] = {}
+        self.word_ids: dict[str, bytes] = {}
 
     def _pieces(self, text: str) -> list[int]:
         """Numbers of pieces that no match of the pattern crosses: cut before a blank that follows no white space."""
@@ -126,8 +127,8 @@ class Codec:
         out.extend(map(self.later.__getitem__, rest))
         return out
 
-    def _contract(self, words: list[bytes]) -> list[np.ndarray]:
-        """Token ids of each word that is no token itself."""
+    def _contract(self, words: list[bytes]) -> list[bytes]:
+        """Token ids, four bytes each, of each word that is no token itself."""
         out = []
         for at in range(0, len(words), QUERY_WORDS):
             some = words[at : at + QUERY_WORDS]
@@ -136,11 +137,16 @@ class Codec:
             self.db.register("start_words", pa.table({"word": pa.array(range(len(some)), pa.int32()), "tokens": tokens}))
             got = self.db.sql(CONTRACT).to_arrow_table()["tokens"].combine_chunks()
             self.db.unregister("start_words")
-            ends, flat = got.offsets.to_numpy(), got.values.to_numpy()
-            out.extend(np.split(flat, ends[1:-1]))
+            ends, data = (got.offsets.to_numpy() * 4).tolist(), got.values.to_numpy().tobytes()
+            out.extend(data[a:b] for a, b in zip(ends, ends[1:], strict=False))
         return out
 
-    def _contract_long(self, word: bytes) -> np.ndarray:
+    @functools.cached_property
+    def merges(self) -> dict[tuple[int, int], int]:
+        rows = self.db.sql("SELECT pair // 2097152, pair % 2097152, rank FROM merges").fetchall()
+        return {(left, right): rank for left, right, rank in rows}
+
+    def _contract_long(self, word: bytes) -> bytes:
         """The same contraction of one long word, in n log n: pairs wait in a heap by rank, then position."""
         tokens = self.single[np.frombuffer(word, np.uint8)].tolist()
         after, before = list(range(1, len(tokens) + 1)), list(range(-1, len(tokens) - 1))
@@ -162,7 +168,7 @@ class Codec:
                 before[after[i]] = i
             offer(before[i])
             offer(i)
-        return np.array([token for token in tokens if token >= 0], np.int32)
+        return np.array([token for token in tokens if token >= 0], np.int32).tobytes()
 
     def _learn(self, begin: int) -> None:
         """Ids of the pieces numbered from begin."""
@@ -172,15 +178,15 @@ class Codec:
         short = [i for i, word in enumerate(raw) if word not in self.ranks and len(word) <= LONG_WORD]
         for i, word in enumerate(raw):
             if word in self.ranks:
-                self.word_ids[new[i]] = np.array([self.ranks[word]], np.int32)
+                self.word_ids[new[i]] = self.ranks[word].to_bytes(4, sys.byteorder)
             elif len(word) > LONG_WORD:
                 self.word_ids[new[i]] = self._contract_long(word)
         for i, ids in zip(short, self._contract([raw[i] for i in short]), strict=True):
             self.word_ids[new[i]] = ids
-        ids = [self.word_ids[word] for words in split for word in words]
-        ends = _offsets([sum(len(self.word_ids[word]) for word in words) for words in split])
+        ids = [b"".join(map(self.word_ids.__getitem__, words)) for words in split]
+        ends = _offsets(list(map(len, ids))) // 4
         self.piece_starts = np.concatenate([self.piece_starts, self.piece_starts[-1] + ends[1:]])
-        self.piece_ids = np.concatenate([self.piece_ids, *ids])
+        self.piece_ids = np.concatenate([self.piece_ids, np.frombuffer(b"".join(ids), np.int32)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Offsets and ids of the texts' tokens, one after another."""
@@ -199,7 +205,9 @@ class Codec:
     def decode(self, offsets: np.ndarray, flat: np.ndarray) -> list[bytes]:
         """The bytes of each list of ids."""
         flat = np.where((flat >= 0) & (flat < len(self.known) - 1), flat, len(self.known) - 1).astype(np.int32)
-        cuts = np.unique(np.concatenate([np.flatnonzero(self.starts_word[flat]), offsets[:-1], [len(flat)]]))
+        cut = np.append(self.starts_word[flat], True)
+        cut[offsets] = True
+        cuts = np.flatnonzero(cut)
         data, at = flat.tobytes(), (cuts * 4).tolist()
         runs = [data[a:b] for a, b in zip(at, at[1:], strict=False)]
         new = list(dict.fromkeys(run for run in runs if run not in self.run_bytes))
@@ -237,6 +245,7 @@ def _lists(offsets: np.ndarray, flat: np.ndarray) -> pa.Array:
 def encode(df: DataFrame, vocabulary_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """df with the token ids of text_col as array<int>. The vocabulary, a file of fixed size, is broadcast."""
     shared = df.sparkSession.sparkContext.broadcast(read_ranks(vocabulary_path))
+    small_batches(df.sparkSession)
 
     @F.arrow_udf("array<int>")
     def token_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -266,10 +275,29 @@ def decode(df: DataFrame, vocabulary_path: str, pattern: str, ids_col: str = "id
     return df.withColumn(bytes_col, token_bytes(F.col(ids_col)))
 
 
+def encode_and_decode(df: DataFrame, vocabulary_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
+    """df with the token ids of text_col, and the bytes that those ids decode to, made by one worker."""
+    shared = df.sparkSession.sparkContext.broadcast(read_ranks(vocabulary_path))
+    small_batches(df.sparkSession)
+
+    @F.arrow_udf("struct<ids: array<int>, bytes: binary>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        codec = codec_of(shared, pattern)
+        for batch in batches:
+            lists, texts = [], []
+            for part in slices(batch):
+                offsets, flat = codec.encode(part)
+                lists.append(_lists(offsets, flat))
+                texts += codec.decode(offsets, flat)
+            ids = pa.concat_arrays(lists) if lists else pa.array([], pa.list_(pa.int32()))
+            yield pa.StructArray.from_arrays([ids, pa.array(texts, pa.binary())], ["ids", "bytes"])
+
+    return df.withColumn("_both", both(F.col(text_col))).withColumns({ids_col: F.col("_both.ids"), bytes_col: F.col("_both.bytes")}).drop("_both")
+
+
 def digests(docs: DataFrame, vocabulary_path: str, pattern: str) -> DataFrame:
     """Per document: doc_id, n_tokens, digest of the ids, digest of the bytes that the ids decode to."""
-    ids = encode(docs.select("doc_id", "text"), vocabulary_path, pattern).select("doc_id", "ids")
-    both = decode(ids, vocabulary_path, pattern)
+    both = encode_and_decode(docs.select("doc_id", "text"), vocabulary_path, pattern)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
