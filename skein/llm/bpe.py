@@ -31,7 +31,7 @@ from .common import slices, small_batches
 
 #: Bytes of a word from which a heap replaces the recursive query.
 LONG_WORD = 512
-#: Words that one recursive query contracts, and distinct pieces that a worker keeps before it starts afresh.
+#: Words that one recursive query contracts, and distinct pieces that a worker keeps before it starts afresh (its memory; results are the same).
 QUERY_WORDS, KEPT_PIECES = 65_536, 300_000
 
 CONTRACT = """
@@ -87,8 +87,8 @@ def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 class Codec:
-    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], pattern: str, kept_pieces: int = KEPT_PIECES) -> None:
+        self.ranks, self.kept_pieces = ranks, kept_pieces
         self.pattern = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
         self.single = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
         if (self.single < 0).any():
@@ -190,7 +190,7 @@ class Codec:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Offsets and ids of the texts' tokens, one after another."""
-        if len(self.fresh) > KEPT_PIECES:
+        if len(self.fresh) > self.kept_pieces:
             self._forget_pieces()
         begin = len(self.fresh)
         pieces = [self._pieces(text) for text in texts]
@@ -221,7 +221,7 @@ class Codec:
             self.run_bytes.update(zip(some, (value or b"" for value in got), strict=True))
         bounds = np.searchsorted(cuts, offsets).tolist()
         out = [b"".join(map(self.run_bytes.__getitem__, runs[a:b])) for a, b in zip(bounds, bounds[1:], strict=False)]
-        if len(self.run_bytes) > KEPT_PIECES:
+        if len(self.run_bytes) > self.kept_pieces:
             self.run_bytes = {}
         return out
 
@@ -229,12 +229,12 @@ class Codec:
 _codecs: dict[int, Codec] = {}
 
 
-def codec_of(shared, pattern: str) -> Codec:
+def codec_of(shared, pattern: str, kept_pieces: int = KEPT_PIECES) -> Codec:
     """The worker's codec for a broadcast vocabulary."""
-    key = hash((pattern, len(shared.value), hash(frozenset(shared.value.items()))))
+    key = hash((pattern, kept_pieces, len(shared.value), hash(frozenset(shared.value.items()))))
     if key not in _codecs:
         _codecs.clear()
-        _codecs[key] = Codec(shared.value, pattern)
+        _codecs[key] = Codec(shared.value, pattern, kept_pieces)
     return _codecs[key]
 
 
@@ -275,14 +275,14 @@ def decode(df: DataFrame, vocabulary_path: str, pattern: str, ids_col: str = "id
     return df.withColumn(bytes_col, token_bytes(F.col(ids_col)))
 
 
-def encode_and_decode(df: DataFrame, vocabulary_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
+def encode_and_decode(df: DataFrame, vocabulary_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", bytes_col: str = "decoded", kept_pieces: int = KEPT_PIECES) -> DataFrame:
     """df with the token ids of text_col, and the bytes that those ids decode to, made by one worker."""
     shared = df.sparkSession.sparkContext.broadcast(read_ranks(vocabulary_path))
     small_batches(df.sparkSession)
 
     @F.arrow_udf("struct<ids: array<int>, bytes: binary>")
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = codec_of(shared, pattern)
+        codec = codec_of(shared, pattern, kept_pieces)
         for batch in batches:
             lists, texts = [], []
             for part in slices(batch):
