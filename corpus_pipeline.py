@@ -16,8 +16,8 @@ from skein.llm.queries import VOCABULARY
 
 #: SQL cannot express the stages (discriminant, SimHash components, boosted trees, seeded draws, token ids).
 ORACLE_SQL = None
-#: Pieces that a worker of the last stage keeps: fewer, as the workers of the stages before it still hold memory.
-KEPT_PIECES = 80_000
+#: Words that a worker of the last stage keeps: fewer, as the workers of the stages before it still hold memory.
+KEPT_WORDS = 150_000
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, ids, n_tokens, and whether the ids decode to the text."""
-    both = bpe.encode_and_decode(docs.select("doc_id", "source", "text"), VOCABULARY, public_tokenizers.PATTERN, kept_pieces=KEPT_PIECES)
+    both = bpe.encode_and_decode(docs.select("doc_id", "source", "text"), VOCABULARY, public_tokenizers.PATTERN, kept_words=KEPT_WORDS)
     return both.select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"))
 
 

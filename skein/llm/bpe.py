@@ -2,8 +2,8 @@
 
 encode() splits each text by the tokenizer's pattern and contracts each distinct word of a batch once: a recursive
 query unnests every word that still changes into token-position rows, joins neighbours with the merge table,
-contracts the word's leftmost pair of least rank, and goes on until no word changes. decode() cuts token ids into
-runs, joins each distinct run's token-position rows with the vocabulary and aggregates the bytes in order.
+contracts the word's leftmost pair of least rank, and goes on until no word changes. decode() joins the batch's
+token-position rows with the vocabulary, aggregates their bytes in order and cuts them into texts.
 
 Results for odd inputs: a null text is the empty text (no ids); a null array of ids decodes to no bytes; ids outside
 the vocabulary and null ids decode to nothing; an existing column with the output's name is replaced; repeated rows
@@ -31,8 +31,10 @@ from .common import slices, small_batches
 
 #: Bytes of a word from which a heap replaces the recursive query.
 LONG_WORD = 512
-#: Words that one recursive query contracts, and distinct pieces that a worker keeps before it starts afresh (its memory; results are the same).
-QUERY_WORDS, KEPT_PIECES = 65_536, 300_000
+#: Words that one recursive query contracts, tokens that one query decodes, characters of a text that are matched at once.
+QUERY_WORDS, QUERY_TOKENS, PART = 65_536, 262_144, 1 << 20
+#: Distinct words that a worker keeps before it starts afresh (its memory; results are the same).
+KEPT_WORDS = 500_000
 
 CONTRACT = """
 WITH RECURSIVE state AS (
@@ -48,13 +50,8 @@ WITH RECURSIVE state AS (
 )
 SELECT word, arg_min(tokens, n) AS tokens FROM state GROUP BY word ORDER BY word
 """
-JOIN_BYTES = """
-SELECT run, unhex(string_agg(hex, '' ORDER BY position)) AS bytes
-FROM (SELECT run, unnest(ids) AS id, unnest(range(len(ids))) AS position FROM id_runs) LEFT JOIN vocabulary USING (id)
-GROUP BY run ORDER BY run
-"""
+JOIN_BYTES = "SELECT string_agg(hex, '' ORDER BY position) AS hex FROM tokens JOIN vocabulary USING (id)"
 AFTER_TEXT = re.compile(r"(?<=\S)(?= )")
-SPACES = re.compile(r"\s ")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -63,14 +60,14 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class _Numbers(dict):
-    """Gives each new key the next number and remembers it as new."""
+    """Gives each new word the next number and holds it in fresh until its ids are known."""
 
-    def __init__(self, fresh: list, prefix: str = "") -> None:
-        self.fresh, self.prefix = fresh, prefix
+    def __init__(self) -> None:
+        self.fresh: list[str] = []
 
     def __missing__(self, key: str) -> int:
-        self[key] = number = len(self.fresh)
-        self.fresh.append(self.prefix + key)
+        self[key] = number = len(self)
+        self.fresh.append(key)
         return number
 
 
@@ -87,8 +84,8 @@ def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 class Codec:
-    def __init__(self, ranks: dict[bytes, int], pattern: str, kept_pieces: int = KEPT_PIECES) -> None:
-        self.ranks, self.kept_pieces = ranks, kept_pieces
+    def __init__(self, ranks: dict[bytes, int], pattern: str, kept_words: int = KEPT_WORDS) -> None:
+        self.ranks, self.kept_words = ranks, kept_words
         self.pattern = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
         self.single = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
         if (self.single < 0).any():
@@ -100,32 +97,24 @@ class Codec:
         self.db.register("arrow_merges", arrow)
         self.db.execute("CREATE TABLE merges AS FROM arrow_merges")
         ids = list(ranks.values())
-        self.known = np.zeros(max(ids) + 2, bool)
-        self.starts_word = np.zeros(max(ids) + 2, bool)
-        self.known[ids] = True
-        self.starts_word[[rank for token, rank in ranks.items() if token[:1] == b" "]] = True
+        self.token_bytes = np.zeros(max(ids) + 2, np.int64)  # the last stands for ids outside the vocabulary
+        self.token_bytes[ids] = list(map(len, ranks))
         self.db.register("arrow_vocabulary", pa.table({"id": pa.array(ids, pa.int32()), "hex": [token.hex() for token in ranks]}))
         self.db.execute("CREATE TABLE vocabulary AS FROM arrow_vocabulary")
-        self._forget_pieces()
-        self.run_bytes: dict[bytes, bytes] = {}
+        self._forget_words()
 
-    def _forget_pieces(self) -> None:
-        self.fresh: list[str] = []
-        self.first, self.later = _Numbers(self.fresh), _Numbers(self.fresh, " ")
-        self.piece_starts = np.zeros(1, np.int64)
-        self.piece_ids = np.zeros(0, np.int32)
-        self.word_ids: dict[str, bytes] = {}
-
-    def _pieces(self, text: str) -> list[int]:
-        """Numbers of pieces that no match of the pattern crosses: cut before a blank that follows no white space."""
-        if not text:
-            return []
-        if SPACES.search(text):
-            return [self.first[piece] for piece in AFTER_TEXT.split(text)]
-        head, *rest = text.split(" ")
-        out = [self.first[head]] if head else []
-        out.extend(map(self.later.__getitem__, rest))
-        return out
+    def _forget_words(self) -> None:
+        self.numbers = _Numbers()
+        self.word_starts = np.zeros(1, np.int64)
+        self.word_ids = np.zeros(0, np.int32)
+
+    def _words(self, text: str) -> Iterator[list[str]]:
+        """The matches of the pattern, of a long text in parts that no match crosses: cut before a blank after no white space."""
+        begin = 0
+        while len(text) - begin > PART and (cut := AFTER_TEXT.search(text, begin + PART)):
+            yield self.pattern.findall(text, begin, cut.start())
+            begin = cut.start()
+        yield self.pattern.findall(text, begin)
 
     def _contract(self, words: list[bytes]) -> list[bytes]:
         """Token ids, four bytes each, of each word that is no token itself."""
@@ -170,71 +159,65 @@ class Codec:
             offer(i)
         return np.array([token for token in tokens if token >= 0], np.int32).tobytes()
 
-    def _learn(self, begin: int) -> None:
-        """Ids of the pieces numbered from begin."""
-        split = [self.pattern.findall(piece) for piece in self.fresh[begin:]]
-        new = list(dict.fromkeys(word for words in split for word in words if word not in self.word_ids))
-        raw = [word.encode("utf-8", "surrogatepass") for word in new]
-        short = [i for i, word in enumerate(raw) if word not in self.ranks and len(word) <= LONG_WORD]
+    def _learn(self) -> None:
+        """Find the ids of the words in fresh."""
+        raw = [word.encode("utf-8", "surrogatepass") for word in self.numbers.fresh]
+        self.numbers.fresh.clear()
+        ids, short = [b""] * len(raw), []
         for i, word in enumerate(raw):
-            if word in self.ranks:
-                self.word_ids[new[i]] = self.ranks[word].to_bytes(4, sys.byteorder)
+            if (rank := self.ranks.get(word)) is not None:
+                ids[i] = rank.to_bytes(4, sys.byteorder)
             elif len(word) > LONG_WORD:
-                self.word_ids[new[i]] = self._contract_long(word)
-        for i, ids in zip(short, self._contract([raw[i] for i in short]), strict=True):
-            self.word_ids[new[i]] = ids
-        ids = [b"".join(map(self.word_ids.__getitem__, words)) for words in split]
+                ids[i] = self._contract_long(word)
+            else:
+                short.append(i)
+        for i, found in zip(short, self._contract([raw[i] for i in short]), strict=True):
+            ids[i] = found
         ends = _offsets(list(map(len, ids))) // 4
-        self.piece_starts = np.concatenate([self.piece_starts, self.piece_starts[-1] + ends[1:]])
-        self.piece_ids = np.concatenate([self.piece_ids, np.frombuffer(b"".join(ids), np.int32)])
+        self.word_starts = np.concatenate([self.word_starts, self.word_starts[-1] + ends[1:]])
+        self.word_ids = np.concatenate([self.word_ids, np.frombuffer(b"".join(ids), np.int32)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Offsets and ids of the texts' tokens, one after another."""
-        if len(self.fresh) > self.kept_pieces:
-            self._forget_pieces()
-        begin = len(self.fresh)
-        pieces = [self._pieces(text) for text in texts]
-        if len(self.fresh) > begin:
-            self._learn(begin)
-        numbers = np.fromiter((number for some in pieces for number in some), np.int64, sum(map(len, pieces)))
-        lengths = (self.piece_starts[1:] - self.piece_starts[:-1])[numbers] if len(numbers) else numbers
-        flat = self.piece_ids[_ragged(self.piece_starts[numbers], lengths)] if len(numbers) else np.zeros(0, np.int32)
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        return ends[_offsets([len(some) for some in pieces])], flat
+        if len(self.numbers) > self.kept_words:
+            self._forget_words()
+        number, parts, counts = self.numbers.__getitem__, [], []
+        for text in texts:
+            own = [np.fromiter(map(number, words), np.int32, len(words)) for words in self._words(text)]
+            parts += own
+            counts.append(sum(map(len, own)))
+        if self.numbers.fresh:
+            self._learn()
+        numbers = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        starts = self.word_starts[numbers]
+        lengths = self.word_starts[numbers + 1] - starts
+        flat = self.word_ids[_ragged(starts, lengths)]
+        return np.concatenate([[0], np.cumsum(lengths)])[_offsets(counts)], flat
 
     def decode(self, offsets: np.ndarray, flat: np.ndarray) -> list[bytes]:
         """The bytes of each list of ids."""
-        flat = np.where((flat >= 0) & (flat < len(self.known) - 1), flat, len(self.known) - 1).astype(np.int32)
-        cut = np.append(self.starts_word[flat], True)
-        cut[offsets] = True
-        cuts = np.flatnonzero(cut)
-        data, at = flat.tobytes(), (cuts * 4).tolist()
-        runs = [data[a:b] for a, b in zip(at, at[1:], strict=False)]
-        new = list(dict.fromkeys(run for run in runs if run not in self.run_bytes))
-        for begin in range(0, len(new), QUERY_WORDS):
-            some = new[begin : begin + QUERY_WORDS]
-            ends = _offsets([len(run) // 4 for run in some]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(some), np.int32))
-            self.db.register("id_runs", pa.table({"run": pa.array(range(len(some)), pa.int32()), "ids": ids}))
-            got = self.db.sql(JOIN_BYTES).to_arrow_table()["bytes"].to_pylist()
-            self.db.unregister("id_runs")
-            self.run_bytes.update(zip(some, (value or b"" for value in got), strict=True))
-        bounds = np.searchsorted(cuts, offsets).tolist()
-        out = [b"".join(map(self.run_bytes.__getitem__, runs[a:b])) for a, b in zip(bounds, bounds[1:], strict=False)]
-        if len(self.run_bytes) > self.kept_pieces:
-            self.run_bytes = {}
-        return out
+        outside = len(self.token_bytes) - 1
+        flat = np.where((flat >= 0) & (flat < outside), flat, outside).astype(np.int32)
+        parts = []
+        for at in range(0, len(flat), QUERY_TOKENS):
+            some = flat[at : at + QUERY_TOKENS]
+            self.db.register("tokens", pa.table({"position": np.arange(len(some), dtype=np.int32), "id": some}))
+            parts.append(bytes.fromhex(self.db.sql(JOIN_BYTES).fetchall()[0][0] or ""))
+            self.db.unregister("tokens")
+        data = b"".join(parts)
+        ends = np.concatenate([[0], np.cumsum(self.token_bytes[flat])])[offsets].tolist()
+        return [data[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
 
 _codecs: dict[int, Codec] = {}
 
 
-def codec_of(shared, pattern: str, kept_pieces: int = KEPT_PIECES) -> Codec:
+def codec_of(shared, pattern: str, kept_words: int = KEPT_WORDS) -> Codec:
     """The worker's codec for a broadcast vocabulary."""
-    key = hash((pattern, kept_pieces, len(shared.value), hash(frozenset(shared.value.items()))))
+    key = hash((pattern, kept_words, len(shared.value), hash(frozenset(shared.value.items()))))
     if key not in _codecs:
         _codecs.clear()
-        _codecs[key] = Codec(shared.value, pattern, kept_pieces)
+        _codecs[key] = Codec(shared.value, pattern, kept_words)
     return _codecs[key]
 
 
@@ -275,14 +258,14 @@ def decode(df: DataFrame, vocabulary_path: str, pattern: str, ids_col: str = "id
     return df.withColumn(bytes_col, token_bytes(F.col(ids_col)))
 
 
-def encode_and_decode(df: DataFrame, vocabulary_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", bytes_col: str = "decoded", kept_pieces: int = KEPT_PIECES) -> DataFrame:
+def encode_and_decode(df: DataFrame, vocabulary_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", bytes_col: str = "decoded", kept_words: int = KEPT_WORDS) -> DataFrame:
     """df with the token ids of text_col, and the bytes that those ids decode to, made by one worker."""
     shared = df.sparkSession.sparkContext.broadcast(read_ranks(vocabulary_path))
     small_batches(df.sparkSession)
 
     @F.arrow_udf("struct<ids: array<int>, bytes: binary>")
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = codec_of(shared, pattern, kept_pieces)
+        codec = codec_of(shared, pattern, kept_words)
         for batch in batches:
             lists, texts = [], []
             for part in slices(batch):
