@@ -14,6 +14,7 @@ with a heap instead of the recursive query (one query step per contraction is qu
 from __future__ import annotations
 
 import base64
+import contextlib
 import functools
 import heapq
 import re
@@ -103,6 +104,12 @@ class Codec:
         self.db.execute("CREATE TABLE vocabulary AS FROM arrow_vocabulary")
         self._forget_words()
 
+    def close(self) -> None:
+        """Give the memory back: workers outlive their tasks."""
+        self._forget_words()
+        self.db.close()
+        pa.default_memory_pool().release_unused()
+
     def _forget_words(self) -> None:
         self.numbers = _Numbers()
         self.word_starts = np.zeros(1, np.int64)
@@ -209,18 +216,6 @@ class Codec:
         return [data[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
 
-_codecs: dict[int, Codec] = {}
-
-
-def codec_of(shared, pattern: str, kept_words: int = KEPT_WORDS) -> Codec:
-    """The worker's codec for a broadcast vocabulary."""
-    key = hash((pattern, kept_words, len(shared.value), hash(frozenset(shared.value.items()))))
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(shared.value, pattern, kept_words)
-    return _codecs[key]
-
-
 def _lists(offsets: np.ndarray, flat: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.astype(np.int32)))
 
@@ -232,10 +227,10 @@ def encode(df: DataFrame, vocabulary_path: str, pattern: str, text_col: str = "t
 
     @F.arrow_udf("array<int>")
     def token_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = codec_of(shared, pattern)
-        for batch in batches:
-            parts = [_lists(*codec.encode(texts)) for texts in slices(batch)]
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+        with contextlib.closing(Codec(shared.value, pattern)) as codec:
+            for batch in batches:
+                parts = [_lists(*codec.encode(texts)) for texts in slices(batch)]
+                yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
     return df.withColumn(ids_col, token_ids(F.col(text_col)))
 
@@ -246,14 +241,14 @@ def decode(df: DataFrame, vocabulary_path: str, pattern: str, ids_col: str = "id
 
     @F.arrow_udf("binary")
     def token_bytes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = codec_of(shared, pattern)
-        for batch in batches:
-            out, step = [], 512
-            for at in range(0, len(batch), step):
-                part = batch.slice(at, step)
-                flat = part.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
-                out += codec.decode(_offsets([len(v) if v.is_valid else 0 for v in part]), flat)
-            yield pa.array(out, pa.binary())
+        with contextlib.closing(Codec(shared.value, pattern)) as codec:
+            for batch in batches:
+                out, step = [], 512
+                for at in range(0, len(batch), step):
+                    part = batch.slice(at, step)
+                    flat = part.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+                    out += codec.decode(_offsets([len(v) if v.is_valid else 0 for v in part]), flat)
+                yield pa.array(out, pa.binary())
 
     return df.withColumn(bytes_col, token_bytes(F.col(ids_col)))
 
@@ -265,15 +260,15 @@ def encode_and_decode(df: DataFrame, vocabulary_path: str, pattern: str, text_co
 
     @F.arrow_udf("struct<ids: array<int>, bytes: binary>")
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = codec_of(shared, pattern, kept_words)
-        for batch in batches:
-            lists, texts = [], []
-            for part in slices(batch):
-                offsets, flat = codec.encode(part)
-                lists.append(_lists(offsets, flat))
-                texts += codec.decode(offsets, flat)
-            ids = pa.concat_arrays(lists) if lists else pa.array([], pa.list_(pa.int32()))
-            yield pa.StructArray.from_arrays([ids, pa.array(texts, pa.binary())], ["ids", "bytes"])
+        with contextlib.closing(Codec(shared.value, pattern, kept_words)) as codec:
+            for batch in batches:
+                lists, texts = [], []
+                for part in slices(batch):
+                    offsets, flat = codec.encode(part)
+                    lists.append(_lists(offsets, flat))
+                    texts += codec.decode(offsets, flat)
+                ids = pa.concat_arrays(lists) if lists else pa.array([], pa.list_(pa.int32()))
+                yield pa.StructArray.from_arrays([ids, pa.array(texts, pa.binary())], ["ids", "bytes"])
 
     return df.withColumn("_both", both(F.col(text_col))).withColumns({ids_col: F.col("_both.ids"), bytes_col: F.col("_both.bytes")}).drop("_both")
 

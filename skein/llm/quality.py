@@ -150,9 +150,12 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that the classifier predicts as 1."""
+    """The rows of docs that the classifier predicts as 1.
+
+    Texts go to Python once, and no stage holds two Python operators (each has workers of its own).
+    """
     small_batches(docs.sparkSession)
-    rows = docs.withColumn("_x", statistics_of(F.col("text")))
-    marks = labels.where(F.col("quality").isin(0, 1)).select(F.col("doc_id").alias("_id"), F.col("quality").alias("label"))
-    train = docs.select("doc_id", "text").where(~held_out(F.col("doc_id"))).join(marks, F.col("doc_id") == F.col("_id")).select("label", statistics_of(F.col("text")).alias("x"))
-    return rows.where(score_of(fit(train), F.col("_x")) >= THRESHOLD).select(docs.columns)
+    rows = materialize(docs.select(F.struct("*").alias("row"), statistics_of(F.col("text")).alias("x")), docs.sparkSession)
+    marks = labels.where(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").alias("label"))
+    train = rows.select(F.col("row.doc_id").alias("doc_id"), "x").where(~held_out(F.col("doc_id"))).join(marks, "doc_id")
+    return rows.where(score_of(fit(train), F.col("x")) >= THRESHOLD).select("row.*")
