@@ -1,9 +1,12 @@
 """Substring dedup over sliding spans of sentences.
 
-A text is cut into sentences after full stops, question and exclamation marks and line feeds. Every run of RUN
-consecutive sentences (all of them, if there are fewer) with at least LEAST_WORDS words is hashed; hashes are joined
-over all documents; sentences that lie in a run which occurred before, in this or another document, are removed. The
-first occurrence, by id, then place, stays. Sentences are compared by their words, lower-cased.
+A text is cut into sentences after full stops, question and exclamation marks and line feeds; blank ones are passed
+over. A run of consecutive sentences is long enough if it has RUN sentences and LEAST_WORDS words. From each sentence the shortest such run is hashed, and up to each sentence likewise;
+a text that is not long enough itself is hashed as a whole. So whatever whole sentences two texts share in a row, all
+of them lie in hashed runs that they share, if together they are long enough. Hashes are joined over all documents;
+sentences that lie in a run which occurred before, in this or another document, are removed. The first occurrence, by
+id, then place, stays, but for what repeats within it. Sentences are compared by their words, lower-cased; of scripts
+without blanks two letters count as a word.
 
 Odd inputs: null and blank texts have no sentences and stay as they are; null ids come last; rows that repeat the id
 and the text are one document and are treated alike; rows of equal id and unequal text are ordered by a hash.
@@ -24,41 +27,52 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from .common import materialize, slices, small_batches
 
 RUN, LEAST_WORDS = 3, 12
-SENTENCE = re.compile(r"(?<=[.!?\n])(?=[^.!?\n])")
+SENTENCE = re.compile(r"(?<=[.!?\n。！？])(?=[^.!?\n。！？])")
+#: Letters of words that no blanks part.
+UNPARTED = re.compile(r"[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff]")
 
 
 def sentences(text: str) -> list[str]:
     return SENTENCE.split(text) if text else []
 
 
-def runs(text: str, run: int = RUN, least_words: int = LEAST_WORDS) -> tuple[list[int], list[int]]:
-    """Places and hashes of the text's runs."""
-    words = [s.lower().split() for s in sentences(text)]
-    if not any(words):
+def n_words(sentence: str, words: list[str]) -> int:
+    return len(words) + (0 if sentence.isascii() else len(UNPARTED.findall(sentence)) // 2)
+
+
+def runs(text: str) -> tuple[list[int], list[int]]:
+    """Places and hashes of the text's runs. A place is the first sentence, times 2^32, plus the sentence after the last."""
+    parts = sentences(text)
+    words = [s.lower().split() for s in parts]
+    at = [i for i, w in enumerate(words) if w]
+    if not at:
         return [], []
-    hashes = np.array([xxhash.xxh64_intdigest(" ".join(w)) for w in words], "<u8").tobytes()
-    counts = np.cumsum([0, *map(len, words)])
-    n = min(run, len(words))
-    places = np.flatnonzero(counts[n:] - counts[:-n] >= least_words).tolist()
-    return places, [xxhash.xxh64_intdigest(hashes[8 * i : 8 * (i + n)]) - 2**63 for i in places]
+    n = len(at)
+    hashes = np.array([xxhash.xxh64_intdigest(" ".join(words[i])) for i in at], "<u8").tobytes()
+    counts = np.cumsum([0, *(n_words(parts[i], words[i]) for i in at)])
+    ends = np.maximum(np.searchsorted(counts, counts[:-1] + LEAST_WORDS), np.arange(n) + RUN)
+    begins = np.minimum(np.searchsorted(counts, counts[1:] - LEAST_WORDS, "right") - 1, np.arange(1, n + 1) - RUN)
+    found = {(i, e) for i, e in enumerate(ends.tolist()) if e <= n} | {(b, i) for i, b in enumerate(begins.tolist(), 1) if b >= 0} or {(0, n)}
+    found = sorted(found)
+    return [(at[b] << 32) + at[e - 1] + 1 for b, e in found], [xxhash.xxh64_intdigest(hashes[8 * b : 8 * e]) - 2**63 for b, e in found]
 
 
-@F.arrow_udf(ArrayType(StructType([StructField("at", IntegerType()), StructField("run", LongType())])))
+@F.arrow_udf(ArrayType(StructType([StructField("at", LongType()), StructField("run", LongType())])))
 def _runs(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
         found = [runs(text) for texts in slices(batch) for text in texts]
         offsets = np.cumsum([0, *(len(p) for p, _ in found)])
-        at = pa.array([i for p, _ in found for i in p], pa.int32())
+        at = pa.array([i for p, _ in found for i in p], pa.int64())
         values = pa.StructArray.from_arrays([at, pa.array([h for _, hs in found for h in hs], pa.int64())], ["at", "run"])
         yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 
 
-def without(text: str, places: list[int], run: int = RUN) -> tuple[str, int]:
+def without(text: str, places: list[int]) -> tuple[str, int]:
     """The text without the sentences of the runs at places, and how many those are."""
     parts = sentences(text)
-    gone = np.zeros(len(parts) + 1, np.int64)
-    np.add.at(gone, places, 1)
-    np.add.at(gone, np.minimum(np.array(places) + min(run, len(parts)), len(parts)), -1)
+    gone, places = np.zeros(len(parts) + 1, np.int64), np.array(places, np.int64)
+    np.add.at(gone, places >> 32, 1)
+    np.add.at(gone, places & (2**32 - 1), -1)
     stays = np.cumsum(gone)[:-1] == 0
     return "".join(p for p, s in zip(parts, stays.tolist(), strict=True) if s), int((~stays).sum())
 

@@ -212,6 +212,22 @@ def test_repeated_spans(spark, docs, empty):
     assert spans.deduplicated(empty).count() == 0 and spans.deduplicated(docs).count() == docs.count()
 
 
+def without_repeats(spark, passages, whole):
+    rows = [(2 * i + j, p if p in whole else f"Host {i} {j} begins.\n{p}\nand {j} {i} goes on") for i, p in enumerate(passages) for j in (0, 1)]
+    got = {r.doc_id: r.text for r in spans.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, p in enumerate(passages):
+        assert got[2 * i] == rows[2 * i][1], p
+        assert got[2 * i + 1].split() == ("" if p in whole else f"Host {i} 1 begins.\nand 1 {i} goes on").split(), p
+
+
+def test_repeats_of_short_sentences(spark):
+    shouted, lines = " ".join(f"w{i}!!" for i in range(100)), "\n".join(f"w{i}" for i in range(60))
+    chinese = "".join(chr(0x4E00 + i) + ("。" if i % 6 == 5 else "") for i in range(120))
+    ends = "One two three four five six seven eight. Nine ten eleven twelve thirteen. Fourteen fifteen sixteen. So it ends."
+    without_repeats(spark, [shouted, lines, chinese, ends, "Too short."], {"Too short."})
+    assert len(spans.runs("a \n" + " \n" * 100_000 + "b.")[0]) == 1
+
+
 def test_revisits(spark):
     rows = [
         (1, "response", "http://www.A.com:80/x/?utm_source=q#top", 10, {"ETag": 'W/"1"', "Content-Type": "html", "Date": "a"}),
