@@ -1,7 +1,8 @@
 """Substring dedup over sliding spans of sentences.
 
 A text is cut into sentences after full stops, question and exclamation marks and line feeds; blank ones are passed
-over. A run of consecutive sentences is long enough if it has RUN sentences and LEAST_WORDS words. From each sentence the shortest such run is hashed, and up to each sentence likewise;
+over. A run of consecutive sentences is long enough if it has RUN sentences and LEAST_WORDS words, or fewer sentences
+and the words that FEWER asks for. From each sentence the shortest such run is hashed, and up to each sentence likewise;
 a text that is not long enough itself is hashed as a whole. So whatever whole sentences two texts share in a row, all
 of them lie in hashed runs that they share, if together they are long enough. Hashes are joined over all documents;
 sentences that lie in a run which occurred before, in this or another document, are removed. The first occurrence, by
@@ -27,6 +28,8 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from .common import materialize, slices, small_batches
 
 RUN, LEAST_WORDS = 3, 12
+#: How many words make a run of fewer than RUN sentences long enough.
+FEWER = {1: 25, 2: 16}
 SENTENCE = re.compile(r"(?<=[.!?\n。！？])(?=[^.!?\n。！？])")
 #: Letters of words that no blanks part.
 UNPARTED = re.compile(r"[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff]")
@@ -50,8 +53,10 @@ def runs(text: str) -> tuple[list[int], list[int]]:
     n = len(at)
     hashes = np.array([xxhash.xxh64_intdigest(" ".join(words[i])) for i in at], "<u8").tobytes()
     counts = np.cumsum([0, *(n_words(parts[i], words[i]) for i in at)])
-    ends = np.maximum(np.searchsorted(counts, counts[:-1] + LEAST_WORDS), np.arange(n) + RUN)
-    begins = np.minimum(np.searchsorted(counts, counts[1:] - LEAST_WORDS, "right") - 1, np.arange(1, n + 1) - RUN)
+    ends, begins = np.full(n, n + 1), np.full(n, -1)
+    for size, least in (FEWER | {RUN: LEAST_WORDS}).items():
+        ends = np.minimum(ends, np.maximum(np.searchsorted(counts, counts[:-1] + least), np.arange(n) + size))
+        begins = np.maximum(begins, np.minimum(np.searchsorted(counts, counts[1:] - least, "right") - 1, np.arange(1, n + 1) - size))
     found = {(i, e) for i, e in enumerate(ends.tolist()) if e <= n} | {(b, i) for i, b in enumerate(begins.tolist(), 1) if b >= 0} or {(0, n)}
     found = sorted(found)
     return [(at[b] << 32) + at[e - 1] + 1 for b, e in found], [xxhash.xxh64_intdigest(hashes[8 * b : 8 * e]) - 2**63 for b, e in found]

@@ -228,6 +228,27 @@ def test_repeats_of_short_sentences(spark):
     assert len(spans.runs("a \n" + " \n" * 100_000 + "b.")[0]) == 1
 
 
+def test_repeats_of_few_sentences(spark):
+    w = [f"w{i}" for i in range(100)]
+    two, one = " ".join(w[:30]) + ". " + " ".join(w[30:60]) + ".", " ".join(w[40:70]) + "."
+    joined = "joined " + " ".join(w[60:75]) + ". " + two.upper() + " " + " ".join(w[75:90]) + " joined"
+    without_repeats(spark, [two, one], {})
+    got = spans.deduplicated(spark.createDataFrame([(1, "A " + joined), (2, "B " + joined + " on")], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_sentences_removed for r in got} == {1: 0, 2: 2}
+
+
+def test_all_of_a_shared_stretch_is_found():
+    rng = random.Random(4)
+    for _ in range(50):
+        shared = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 9))) + "." for _ in range(rng.randrange(1, 12))]
+        size, words = len(shared), sum(len(p.split()) for p in shared)
+        a, b = (spans.runs(f"x{k}." + "".join(shared) + f"y{k}.") for k in (1, 2))
+        common = set(a[1]) & set(b[1])
+        held = {i for at, h in zip(*a, strict=True) if h in common for i in range(at >> 32, at & (2**32 - 1))}
+        enough = words >= (spans.LEAST_WORDS if size >= spans.RUN else spans.FEWER[size])
+        assert held == (set(range(1, size + 1)) if enough else set())
+
+
 def test_revisits(spark):
     rows = [
         (1, "response", "http://www.A.com:80/x/?utm_source=q#top", 10, {"ETag": 'W/"1"', "Content-Type": "html", "Date": "a"}),
