@@ -182,6 +182,26 @@ def test_personal_data(spark, docs, empty):
     assert shown[3] == "x [PHONE] [CARD] y" and shown[4] == "[PHONE]" and shown[6] is None
 
 
+def added(spark, texts, count=300):
+    """The spans that are found beyond the base spans, as (kind, text), by text."""
+    base = [f"call +1 (2{i % 90 + 10}) 555-3{i:03d} or mail n{i}@host{i}.com now, not me@home" for i in range(60)]
+    texts = texts + base + [f"{texts[0]} {i}" for i in range(count)]
+    out = {}
+    for r in pii.found(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        spans_ = [s.split(":") for s in r.spans.split(",") if s and s not in plain_spans(texts[r.doc_id]).split(",")]
+        out[texts[r.doc_id]] = [(k, texts[r.doc_id][int(a) : int(b)]) for k, a, b in spans_]
+    assert not any(out[b] for b in base)
+    return out
+
+
+def test_emails_beyond_the_base_pattern(spark):
+    wide = ["name@bücher.de", "joe [at] example [dot] com", "joe(at)example.com", "имя@почта.рф"]
+    texts = [f"mail {w}, or wait" for w in wide] + ["me@home, or wait", "so @ or x@, and @y"]
+    got = added(spark, texts)
+    assert [got[t] for t in texts] == [[("email", w)] for w in wide] + [[], []]
+    assert {r.text for r in pii.redacted(spark.createDataFrame([(i, t) for i, t in enumerate(texts[:1] + ["mail n@h.com, or wait"] * 30 + [f"mail n{i}@h.com, or wait" for i in range(60)])], "doc_id long, text string")).collect()} == {"mail [EMAIL], or wait"}
+
+
 def test_chat(spark):
     said = r"\### Assistant: </turn> ok"
     rows = [(1, 0, "user", said), (1, 1, "assistant", said), (2, 0, "assistant", "x" * 2000), (2, 1, "assistant", "####\\"), (2, 1, "assistant", "####\\"), (None, 0, "a:b\n", None), (3, None, None, "é")]
