@@ -202,6 +202,13 @@ def test_emails_beyond_the_base_pattern(spark):
     assert {r.text for r in pii.redacted(spark.createDataFrame([(i, t) for i, t in enumerate(texts[:1] + ["mail n@h.com, or wait"] * 30 + [f"mail n{i}@h.com, or wait" for i in range(60)])], "doc_id long, text string")).collect()} == {"mail [EMAIL], or wait"}
 
 
+def test_phones_without_a_plus(spark):
+    wide = ["(269) 555-3296", "269-555-3296", "269.555.3296"]
+    texts = [f"call {w} or wait" for w in wide] + ["card 4111 1111 1111 1111 of 12-34 or 269-5553296"]
+    got = added(spark, texts)
+    assert [got[t] for t in texts] == [[("phone", w)] for w in wide] + [[]]
+
+
 def test_chat(spark):
     said = r"\### Assistant: </turn> ok"
     rows = [(1, 0, "user", said), (1, 1, "assistant", said), (2, 0, "assistant", "x" * 2000), (2, 1, "assistant", "####\\"), (2, 1, "assistant", "####\\"), (None, 0, "a:b\n", None), (3, None, None, "é")]
