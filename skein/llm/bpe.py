@@ -2,23 +2,26 @@
 
 encode() splits each text by the tokenizer's pattern and contracts each distinct word of a batch once: a recursive
 query unnests every word that still changes into token-position rows, joins neighbours with the merge table,
-contracts the word's leftmost pair of least rank, and goes on until no word changes. decode() joins the batch's
-token-position rows with the vocabulary, aggregates their bytes in order and cuts them into texts.
+contracts the word's leftmost pair of least rank, and goes on until no word changes. Further occurrences of that pair
+are contracted in the same step where a merge of it can't make a pair of lesser rank (they would come next anyway), so
+that a word of a million equal letters takes few steps. Before that, words are cut where no token of the vocabulary can
+reach over: nothing is ever merged there, and a long word falls into short pieces. A query holds QUERY_WORDS pieces and
+QUERY_BYTES bytes, or one longer piece; DuckDB spills to a folder of the task. decode() joins the batch's token-position
+rows with the vocabulary, aggregates their bytes in order and cuts them into texts.
 
 Results for odd inputs: a null text is the empty text (no ids); a null array of ids decodes to no bytes; ids outside
-the vocabulary and null ids decode to nothing; an existing column with the output's name is replaced; repeated rows
-are encoded alike; a text of any length is encoded whole. A single word of more than LONG_WORD bytes is contracted
-with a heap instead of the recursive query (one query step per contraction is quadratic there); ids are the same.
+the vocabulary and null ids decode to nothing; an existing column with the output's name is replaced, no other column is
+touched; repeated rows are encoded alike; texts and words of any length are encoded whole; an empty table gives none.
 """
 
 from __future__ import annotations
 
 import base64
 import contextlib
-import functools
-import heapq
 import re
+import shutil
 import sys
+import tempfile
 from collections.abc import Iterator
 
 import duckdb
@@ -28,28 +31,47 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, small_batches
+from .common import free_name, slices
 
-#: Bytes of a word from which a heap replaces the recursive query.
-LONG_WORD = 512
-#: Words that one recursive query contracts, tokens that one query decodes, characters of a text that are matched at once.
-QUERY_WORDS, QUERY_TOKENS, PART = 65_536, 262_144, 1 << 20
+#: Pieces, and their bytes, that one recursive query contracts, tokens that one query decodes, characters of a text that are matched at once.
+QUERY_WORDS, QUERY_BYTES, QUERY_TOKENS, PART = 65_536, 1 << 20, 262_144, 1 << 20
 #: Distinct words that a worker keeps before it starts afresh (its memory; results are the same).
 KEPT_WORDS = 500_000
 
+#: A code is rank * 2^33 + position * 2 + 1 if only the leftmost pair of the rank may be contracted in a step. Of pairs that overlap, every other one from the left is.
 CONTRACT = """
 WITH RECURSIVE state AS (
-  SELECT word, tokens, len(tokens)::INT AS n FROM start_words
+  SELECT word, tokens, false AS done FROM start_words
   UNION ALL
-  SELECT s.word, s.tokens[:b.best % 65536 - 1] || [(b.best // 65536)::INT] || s.tokens[b.best % 65536 + 2:], s.n - 1
-  FROM state s JOIN (
-    SELECT word, min(m.rank * 65536 + p.position) AS best
-    FROM (SELECT word, unnest(range(1, n)) AS position, unnest(tokens[:n - 1]) AS token, unnest(tokens[2:]) AS next_token FROM state) p
-    JOIN merges m ON m.pair = p.token::BIGINT * 2097152 + p.next_token
-    GROUP BY word
-  ) b USING (word)
+  SELECT s.word,
+    CASE WHEN spots IS NULL THEN s.tokens
+      WHEN len(spots) = 1 THEN s.tokens[:spots[1] - 1] || [least_rank] || s.tokens[spots[1] + 2:]
+      ELSE list_transform(range(1, spots[1]) || flatten(list_transform(range(1, len(spots) + 1), lambda k: [0] || range(spots[k] + 2, CASE WHEN k < len(spots) THEN spots[k + 1] ELSE len(s.tokens) + 1 END))),
+        lambda i: CASE WHEN i = 0 THEN least_rank ELSE s.tokens[i] END) END,
+    spots IS NULL
+  FROM state s LEFT JOIN (
+    SELECT word, (least // 8589934592)::INT AS least_rank,
+      CASE WHEN len(places) = 1 THEN places WHEN least % 2 = 1 THEN places[:1] WHEN len(list_distinct(runs)) = len(runs) THEN places
+        ELSE list_filter(places, lambda p, i: (i - list_position(runs, runs[i])) % 2 = 0) END AS spots
+    FROM (
+      SELECT *, list_transform(places, lambda p, i: p - i) AS runs
+      FROM (
+        SELECT word, least, list_transform(list_sort(list_filter(codes, lambda c: c // 8589934592 = least // 8589934592)), lambda c: (c // 2) % 4294967296) AS places
+        FROM (
+          SELECT word, min(code) AS least, list(code) AS codes
+          FROM (
+            SELECT word, m.rank * 8589934592 + p.position * 2 + m.alone AS code
+            FROM (SELECT word, unnest(range(1, len(tokens))) AS position, unnest(tokens[:len(tokens) - 1]) AS token, unnest(tokens[2:]) AS next_token FROM state WHERE NOT done) p
+            JOIN merges m ON m.pair = p.token::BIGINT * 2097152 + p.next_token
+          )
+          GROUP BY word
+        )
+      )
+    )
+  ) b ON s.word = b.word
+  WHERE NOT s.done
 )
-SELECT word, arg_min(tokens, n) AS tokens FROM state GROUP BY word ORDER BY word
+SELECT word, tokens FROM state WHERE done ORDER BY word
 """
 JOIN_BYTES = "SELECT string_agg(hex, '' ORDER BY position) AS hex FROM tokens JOIN vocabulary USING (id)"
 AFTER_TEXT = re.compile(r"(?<=\S)(?= )")
@@ -84,6 +106,19 @@ def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def _reach(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Which two bytes are a token, and which three lie in one: a token that reaches over a place shows there as one of these."""
+    data = np.frombuffer(b"".join(ranks), np.uint8).astype(np.int64)
+    lengths = np.fromiter(map(len, ranks), np.int64, len(ranks))
+    ends = np.repeat(np.cumsum(lengths), lengths)
+    two, three = np.zeros(1 << 16, bool), np.zeros(1 << 24, bool)
+    starts = (np.cumsum(lengths) - lengths)[lengths == 2]
+    two[data[starts] << 8 | data[starts + 1]] = True
+    inside = np.flatnonzero(np.arange(len(data)) + 2 < ends)
+    three[data[inside] << 16 | data[inside + 1] << 8 | data[inside + 2]] = True
+    return two, three
+
+
 class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str, kept_words: int = KEPT_WORDS) -> None:
         self.ranks, self.kept_words = ranks, kept_words
@@ -91,11 +126,13 @@ class Codec:
         self.single = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int32)
         if (self.single < 0).any():
             raise ValueError("a byte-level vocabulary holds all 256 single bytes")
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
+        self.two, self.three = _reach(ranks)
+        self.spill = tempfile.mkdtemp(prefix="bpe-")  # scratch of this task alone
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": self.spill})
         triples = [(left, right, rank) for token, rank in ranks.items() for i in range(1, len(token)) if (left := ranks.get(token[:i])) is not None and (right := ranks.get(token[i:])) is not None]
         left, right, rank = np.array(triples or np.empty((0, 3)), np.int64).T
-        arrow = pa.table({"pair": left * 2097152 + right, "rank": rank})
-        self.db.register("arrow_merges", arrow)
+        early = np.unique(np.concatenate([left[left > rank], right[right > rank]]))  # merged tokens that take part in a merge of lesser rank
+        self.db.register("arrow_merges", pa.table({"pair": left * 2097152 + right, "rank": rank, "alone": np.isin(rank, early).astype(np.int64)}))
         self.db.execute("CREATE TABLE merges AS FROM arrow_merges")
         ids = list(ranks.values())
         self.token_bytes = np.zeros(max(ids) + 2, np.int64)  # the last stands for ids outside the vocabulary
@@ -105,9 +142,10 @@ class Codec:
         self._forget_words()
 
     def close(self) -> None:
-        """Give the memory back: workers outlive their tasks."""
+        """Give memory and scratch back: workers outlive their tasks."""
         self._forget_words()
         self.db.close()
+        shutil.rmtree(self.spill, ignore_errors=True)
         pa.default_memory_pool().release_unused()
 
     def _forget_words(self) -> None:
@@ -123,62 +161,50 @@ class Codec:
             begin = cut.start()
         yield self.pattern.findall(text, begin)
 
+    def _pieces(self, words: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+        """The words cut where no token reaches over, and how many pieces lie before each word."""
+        data = b"".join(words)
+        b = np.frombuffer(data, np.uint8).astype(np.int64)
+        ends = _offsets(list(map(len, words)))
+        over = np.zeros(len(b) + 1, bool)
+        over[1:-1] = self.two[b[:-1] << 8 | b[1:]]
+        near = self.three[b[:-2] << 16 | b[1:-1] << 8 | b[2:]]
+        over[1:-2] |= near
+        over[2:-1] |= near
+        over[ends] = False
+        places = np.flatnonzero(~over)
+        at = places.tolist()
+        return [data[i:j] for i, j in zip(at, at[1:], strict=False)], np.searchsorted(places, ends)
+
     def _contract(self, words: list[bytes]) -> list[bytes]:
         """Token ids, four bytes each, of each word that is no token itself."""
-        out = []
-        for at in range(0, len(words), QUERY_WORDS):
-            some = words[at : at + QUERY_WORDS]
-            offsets = _offsets([len(word) for word in some]).astype(np.int32)
-            tokens = pa.ListArray.from_arrays(offsets, self.single[np.frombuffer(b"".join(some), np.uint8)])
+        if not words:
+            return []
+        pieces, before = self._pieces(words)
+        numbers = {piece: i for i, piece in enumerate(dict.fromkeys(pieces))}
+        known, sizes = list(numbers), np.fromiter(map(len, numbers), np.int64, len(numbers))
+        out, begin, filled = [], 0, np.cumsum(sizes)
+        while begin < len(known):
+            full = int(np.searchsorted(filled, filled[begin] - sizes[begin] + QUERY_BYTES, "right"))
+            end = max(begin + 1, min(full, begin + QUERY_WORDS))
+            some = known[begin:end]
+            tokens = pa.ListArray.from_arrays(_offsets(sizes[begin:end]).astype(np.int32), self.single[np.frombuffer(b"".join(some), np.uint8)])
             self.db.register("start_words", pa.table({"word": pa.array(range(len(some)), pa.int32()), "tokens": tokens}))
             got = self.db.sql(CONTRACT).to_arrow_table()["tokens"].combine_chunks()
             self.db.unregister("start_words")
             ends, data = (got.offsets.to_numpy() * 4).tolist(), got.values.to_numpy().tobytes()
             out.extend(data[a:b] for a, b in zip(ends, ends[1:], strict=False))
-        return out
-
-    @functools.cached_property
-    def merges(self) -> dict[tuple[int, int], int]:
-        rows = self.db.sql("SELECT pair // 2097152, pair % 2097152, rank FROM merges").fetchall()
-        return {(left, right): rank for left, right, rank in rows}
-
-    def _contract_long(self, word: bytes) -> bytes:
-        """The same contraction of one long word, in n log n: pairs wait in a heap by rank, then position."""
-        tokens = self.single[np.frombuffer(word, np.uint8)].tolist()
-        after, before = list(range(1, len(tokens) + 1)), list(range(-1, len(tokens) - 1))
-        merges, waiting = self.merges, []
-
-        def offer(i: int) -> None:
-            if i >= 0 and after[i] < len(tokens) and (rank := merges.get((tokens[i], tokens[after[i]]))) is not None:
-                heapq.heappush(waiting, (rank, i, tokens[i], tokens[after[i]]))
-
-        for i in range(len(tokens)):
-            offer(i)
-        while waiting:
-            rank, i, token, following = heapq.heappop(waiting)
-            if tokens[i] != token or after[i] >= len(tokens) or tokens[after[i]] != following:
-                continue
-            gone = after[i]
-            tokens[i], tokens[gone], after[i] = rank, -1, after[gone]
-            if after[i] < len(tokens):
-                before[after[i]] = i
-            offer(before[i])
-            offer(i)
-        return np.array([token for token in tokens if token >= 0], np.int32).tobytes()
+            begin = end
+        ids, before = [out[numbers[piece]] for piece in pieces], before.tolist()
+        return [ids[a] if b - a == 1 else b"".join(ids[a:b]) for a, b in zip(before, before[1:], strict=False)]
 
     def _learn(self) -> None:
         """Find the ids of the words in fresh."""
         raw = [word.encode("utf-8", "surrogatepass") for word in self.numbers.fresh]
         self.numbers.fresh.clear()
-        ids, short = [b""] * len(raw), []
-        for i, word in enumerate(raw):
-            if (rank := self.ranks.get(word)) is not None:
-                ids[i] = rank.to_bytes(4, sys.byteorder)
-            elif len(word) > LONG_WORD:
-                ids[i] = self._contract_long(word)
-            else:
-                short.append(i)
-        for i, found in zip(short, self._contract([raw[i] for i in short]), strict=True):
+        ids = [rank.to_bytes(4, sys.byteorder) if (rank := self.ranks.get(word)) is not None else b"" for word in raw]
+        several = [i for i, found in enumerate(ids) if not found]
+        for i, found in zip(several, self._contract([raw[i] for i in several]), strict=True):
             ids[i] = found
         ends = _offsets(list(map(len, ids))) // 4
         self.word_starts = np.concatenate([self.word_starts, self.word_starts[-1] + ends[1:]])
@@ -223,14 +249,13 @@ def _lists(offsets: np.ndarray, flat: np.ndarray) -> pa.Array:
 def encode(df: DataFrame, vocabulary_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """df with the token ids of text_col as array<int>. The vocabulary, a file of fixed size, is broadcast."""
     shared = df.sparkSession.sparkContext.broadcast(read_ranks(vocabulary_path))
-    small_batches(df.sparkSession)
 
     @F.arrow_udf("array<int>")
     def token_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         with contextlib.closing(Codec(shared.value, pattern)) as codec:
             for batch in batches:
-                parts = [_lists(*codec.encode(texts)) for texts in slices(batch)]
-                yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+                for texts in slices(batch):
+                    yield _lists(*codec.encode(texts))
 
     return df.withColumn(ids_col, token_ids(F.col(text_col)))
 
@@ -243,12 +268,10 @@ def decode(df: DataFrame, vocabulary_path: str, pattern: str, ids_col: str = "id
     def token_bytes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         with contextlib.closing(Codec(shared.value, pattern)) as codec:
             for batch in batches:
-                out, step = [], 512
-                for at in range(0, len(batch), step):
-                    part = batch.slice(at, step)
+                for at in range(0, len(batch), 512):
+                    part = batch.slice(at, 512)
                     flat = part.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
-                    out += codec.decode(_offsets([len(v) if v.is_valid else 0 for v in part]), flat)
-                yield pa.array(out, pa.binary())
+                    yield pa.array(codec.decode(_offsets([len(v) if v.is_valid else 0 for v in part]), flat), pa.binary())
 
     return df.withColumn(bytes_col, token_bytes(F.col(ids_col)))
 
@@ -256,21 +279,17 @@ def decode(df: DataFrame, vocabulary_path: str, pattern: str, ids_col: str = "id
 def encode_and_decode(df: DataFrame, vocabulary_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", bytes_col: str = "decoded", kept_words: int = KEPT_WORDS) -> DataFrame:
     """df with the token ids of text_col, and the bytes that those ids decode to, made by one worker."""
     shared = df.sparkSession.sparkContext.broadcast(read_ranks(vocabulary_path))
-    small_batches(df.sparkSession)
 
     @F.arrow_udf("struct<ids: array<int>, bytes: binary>")
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         with contextlib.closing(Codec(shared.value, pattern, kept_words)) as codec:
             for batch in batches:
-                lists, texts = [], []
-                for part in slices(batch):
-                    offsets, flat = codec.encode(part)
-                    lists.append(_lists(offsets, flat))
-                    texts += codec.decode(offsets, flat)
-                ids = pa.concat_arrays(lists) if lists else pa.array([], pa.list_(pa.int32()))
-                yield pa.StructArray.from_arrays([ids, pa.array(texts, pa.binary())], ["ids", "bytes"])
-
-    return df.withColumn("_both", both(F.col(text_col))).withColumns({ids_col: F.col("_both.ids"), bytes_col: F.col("_both.bytes")}).drop("_both")
+                for texts in slices(batch):
+                    offsets, flat = codec.encode(texts)
+                    yield pa.StructArray.from_arrays([_lists(offsets, flat), pa.array(codec.decode(offsets, flat), pa.binary())], ["ids", "bytes"])
+
+    made = free_name(df, "both")
+    return df.withColumn(made, both(F.col(text_col))).withColumns({ids_col: F.col(f"{made}.ids"), bytes_col: F.col(f"{made}.bytes")}).drop(made)
 
 
 def digests(docs: DataFrame, vocabulary_path: str, pattern: str) -> DataFrame:

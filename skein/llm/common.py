@@ -1,8 +1,7 @@
-"""What several corpus operators share: tables in the shared folder, words, slices of Arrow batches."""
+"""What several corpus operators share: tables in the shared folder, words, slices of Arrow batches, free names."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -20,12 +19,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, from spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
-    own = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("skein.shared.dir", None)
-    if not own:
-        own = tempfile.mkdtemp(prefix="skein-")
-        spark.conf.set("skein.shared.dir", own)
-    return own
+    """The folder that all executors share, from spark.checkpoint.dir.
+
+    Where that is unset, a single-machine session (local master: driver and executors are one process) gets one under
+    its warehouse; on a cluster nothing tells a folder that all machines share, so that is an error.
+    """
+    own = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if own:
+        return own
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/skein-shared"
 
 
 def materialize(df: DataFrame, spark: SparkSession) -> DataFrame:
@@ -39,7 +44,7 @@ def materialize(df: DataFrame, spark: SparkSession) -> DataFrame:
 
 
 def discard(df: DataFrame | None, spark: SparkSession) -> None:
-    """Delete a table that materialize() wrote."""
+    """Delete a table that materialize() wrote, once nothing reads it any more."""
     path = getattr(df, "_skein_path", None)
     if path:
         jvm = spark.sparkContext._jvm
@@ -47,9 +52,12 @@ def discard(df: DataFrame | None, spark: SparkSession) -> None:
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Texts are long: fewer of them at a time to Python workers, from here on in this session."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have yet."""
+    taken, out = {c.lower() for c in df.columns}, f"_{name}"
+    while out.lower() in taken:
+        out = f"_{out}"
+    return out
 
 
 def words(text: Column) -> Column:

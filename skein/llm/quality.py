@@ -7,7 +7,8 @@ means and covariances are added up over all labelled rows, in the executors; the
 
 Odd inputs: null and blank texts have statistics of zeros and are scored by them; null labels and labels other than 0
 and 1 are not learned; several labels of one id are rows of their own; rows of null id are scored, never learned and
-not held out; without labels every score is 0.5, with one class only it is that class. An empty table gives no rows.
+not held out; without labels every score is 0.5, with one class only it is that class; other columns may have any
+names; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from .common import materialize, slices, small_batches
+from .common import materialize, slices
 
 FOLDS, THRESHOLD = 5, 0.3
 #: Shrinkage towards the own diagonal and towards the pooled covariance; least variance of a statistic.
@@ -70,7 +71,8 @@ def statistics(text: str) -> list[float]:
 @F.arrow_udf(ArrayType(DoubleType()))
 def _statistics(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
-        yield pa.array([statistics(text) for texts in slices(batch) for text in texts], pa.list_(pa.float64()))
+        for texts in slices(batch):
+            yield pa.array([statistics(text) for text in texts], pa.list_(pa.float64()))
 
 
 def statistics_of(text: Column) -> Column:
@@ -141,7 +143,6 @@ def held_out(doc_id: Column) -> Column:
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted and key, a hash of the text, for every row of docs."""
-    small_batches(docs.sparkSession)
     rows = materialize(docs.select("doc_id", F.xxhash64("text").alias("key"), statistics_of(F.col("text")).alias("x")), docs.sparkSession)
     marks = labels.where(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").alias("label"))
     model = fit(rows.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()).join(marks, "doc_id"))
@@ -154,7 +155,6 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Texts go to Python once, and no stage holds two Python operators (each has workers of its own).
     """
-    small_batches(docs.sparkSession)
     rows = materialize(docs.select(F.struct("*").alias("row"), statistics_of(F.col("text")).alias("x")), docs.sparkSession)
     marks = labels.where(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").alias("label"))
     train = rows.select(F.col("row.doc_id").alias("doc_id"), "x").where(~held_out(F.col("doc_id"))).join(marks, "doc_id")

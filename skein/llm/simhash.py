@@ -11,8 +11,9 @@ parent doesn't already keep. A search adds up differing bits from the root down
 they exceed the distance. A bucket yields a spanning forest of its links, never all its pairs.
 
 Odd inputs: null and blank texts have the fingerprint zero and are linked like any others; fewer words than a shingle
-are one shingle; equal ids or repeated rows belong to the same group; null ids are kept, in the group of their text,
-and a group with no id at all has a null component.
+are one shingle; repeated rows belong to the same group; rows of equal id and other texts are documents of their own;
+null ids are kept, in the group of their text, and a group with no id at all has a null component; other columns may
+have any names; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import discard, hex16, materialize, slices, small_batches
+from .common import discard, hex16, materialize, slices
 from .components import components
 
 HOT_BUCKET, FANOUT, DISTANCE = 4096, 16, 2
@@ -63,8 +64,8 @@ def simhash_of(texts: list[str], shingle: int = 3) -> np.ndarray:
 @F.arrow_udf(LongType())
 def _fingerprints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
-        parts = [simhash_of(texts) for texts in slices(batch, 2 << 20)]
-        yield pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64))
+        for texts in slices(batch, 2 << 20):
+            yield pa.array(simhash_of(texts))
 
 
 def fingerprint(text: Column) -> Column:
@@ -180,16 +181,16 @@ def hamming_links(codes: DataFrame, column: str = "fp") -> DataFrame:
 
 
 def _classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(rows, classes): doc_id and fp of each row of docs; fp, root and component_id of each distinct fingerprint."""
-    small_batches(docs.sparkSession)
+    """(rows, classes): doc_id, key (a hash of the text) and fp of each row of docs; fp, root and component_id of each distinct fingerprint."""
     spark = docs.sparkSession
-    prints = materialize(docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col)).alias("fp")), spark)
+    prints = materialize(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("key"), fingerprint(F.col(text_col)).alias("fp")), spark)
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), spark)
     roots = components(hamming_links(distinct), "a", "b")
     placed = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     named = materialize(placed.join(ids, "root").select("fp", "root", "component_id"), spark)
-    discard(distinct, spark)
+    for done in (distinct, roots):
+        discard(done, spark)
     return prints, named
 
 
@@ -200,12 +201,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of docs for each group: that of its least id (of repeated ids, one); of a group without ids, any one."""
-    columns = docs.columns
-    _, named = _classes(docs)
-    chosen = named.where("component_id IS NOT NULL").select(F.col("component_id").alias("_id")).distinct()
-    met = docs.withColumn("_key", F.xxhash64("text")).join(chosen, F.col("doc_id") == F.col("_id"))
-    first = met.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id").orderBy("_key"))).where("_n = 1").select(columns)
-    no_id = docs.where("doc_id IS NULL").withColumn("_fp", fingerprint(F.col("text")))
-    lone = no_id.join(named.where("component_id IS NULL").select(F.col("fp").alias("_fp"), F.col("root").alias("_root")), "_fp")
-    return first.unionByName(lone.dropDuplicates(["_root"]).select(columns))
+    """One row of docs for each group: that of its least id, ids that are null last; of rows of equal id that of the least hash of the text, then of the other columns."""
+    spark = docs.sparkSession
+    prints, named = _classes(docs)
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
+    chosen = prints.join(named, "fp").groupBy("root").agg(F.min(place).alias("p")).select("root", F.col("p.doc_id").alias("id"), F.col("p.key").alias("key"))
+    chosen = materialize(chosen, spark)
+    discard(prints, spark)
+    discard(named, spark)
+    plain = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("row_id"), F.xxhash64("text").alias("row_key"), F.xxhash64(*[f"`{c}`" for c in plain]).alias("all"))
+    met = rows.join(chosen, F.col("row_id").eqNullSafe(F.col("id")) & (F.col("row_key") == F.col("key")))
+    return met.withColumn("n", F.row_number().over(Window.partitionBy("root").orderBy("all"))).where("n = 1").select("row.*")
