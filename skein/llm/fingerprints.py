@@ -4,21 +4,23 @@ A sketch is the sorted array of the k least distinct hashes of a text's shingles
 sketch of their union, and estimate resemblance, containment and the number of distinct shingles.
 
 Odd inputs: a null text is the empty text and has the empty sketch; two empty sketches resemble each other fully; a
-text of fewer words than a shingle has one shingle; equal texts have equal sketches. In neighbours(), null ids come
-last and rows of equal id are ordered by text.
+text of fewer words than a shingle has one shingle; equal texts have equal sketches; other columns may have any names;
+an empty table gives none. In with_next(), null ids come last, rows of equal id are ordered by a hash of the text, then
+by the text, and ids may be any 64-bit numbers, however they are spread.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hex16, words
+from .common import discard, free_name, hex16, materialize, words
 
 SHINGLE, K = 5, 128
-#: Buckets of ids that neighbours() deals rows to: one for so many rows, but never more than MOST_BUCKETS, the bound
-#: of the one table that it broadcasts.
-BUCKET_ROWS, MOST_BUCKETS, QUANTILES = 1024, 1 << 18, 64
+#: Rows of a range of ids, and ranges at most, that with_next() deals rows to.
+RANGE_ROWS, MOST_RANGES = 512, 1 << 16
 
 
 def shingle_hashes(word_hashes: Column, size: int = SHINGLE) -> Column:
@@ -30,9 +32,22 @@ def shingle_hashes(word_hashes: Column, size: int = SHINGLE) -> Column:
 
 def with_sketch(df: DataFrame, text: Column, out: str, k: int = K, size: int = SHINGLE) -> DataFrame:
     """df with the sketch of a text as array<long> in out."""
-    hashed = df.withColumn("_word_hashes", F.transform(words(text), lambda w: F.xxhash64(w)))
-    runs = hashed.withColumn("_shingles", shingle_hashes(F.col("_word_hashes"), size)).drop("_word_hashes")
-    return runs.withColumn(out, F.slice(F.sort_array(F.array_distinct("_shingles")), 1, k)).drop("_shingles")
+    hashes = free_name(df, "word_hashes")
+    hashed = df.withColumn(hashes, F.transform(words(text), lambda w: F.xxhash64(w)))
+    runs = hashed.withColumn(hashes, shingle_hashes(F.col(hashes), size))
+    return runs.withColumn(out, F.slice(F.sort_array(F.array_distinct(hashes)), 1, k)).drop(*({hashes} - {out}))
+
+
+def sketch_of_parts(sketches: DataFrame, by: list[str], sketch: str = "sketch", k: int = K) -> DataFrame:
+    """by and the sketch of the union of each group's parts, as if they had been sketched as one.
+
+    The k least hashes of a group are among the k least of each of its parts: hashes are made distinct before and
+    after the shuffle, and the k-th least is found by a row limit that runs below it, so that a group may have any
+    number of parts."""
+    each = sketches.select(*by, F.explode_outer(sketch).alias("_h")).distinct()
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.asc_nulls_last("_h")))
+    least = each.withColumn("_r", rank).where(F.col("_r") <= k)
+    return least.groupBy(*by).agg(F.sort_array(F.collect_list("_h")).alias(sketch))  # k hashes a group
 
 
 def merge(a: Column, b: Column, k: int = K) -> Column:
@@ -62,36 +77,50 @@ def as_text(sketch: Column) -> Column:
     return F.array_join(F.transform(sketch, lambda h: hex16(h)), "")
 
 
-def _placed(docs: DataFrame) -> DataFrame:
-    """doc_id, text, bucket, ghost: rows dealt to ranges of ids; the first row of each range also, as ghost, to the range before it in descending order of ids."""
-    fractions = ", ".join(str(i / QUANTILES) for i in range(QUANTILES + 1))
-    facts = docs.agg(F.count(F.lit(1)).alias("n"), F.expr(f"percentile_approx(doc_id, array({fractions}), 10000)").alias("bounds"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
-    bounds = sorted({facts["low"], *(facts["bounds"] or ()), facts["high"]}) if facts["bounds"] else [0]
-    each = max(1, min(MOST_BUCKETS, facts["n"] // BUCKET_ROWS) // QUANTILES)
-    edges = F.array(*[F.lit(b).cast("long") for b in bounds])
-    place = F.size(F.filter(edges, lambda b: b <= F.col("doc_id")))
-    low, high = F.element_at(edges, F.col("_place")), F.coalesce(F.try_element_at(edges, F.col("_place") + 1), F.element_at(edges, -1) + 1)
-    within = F.floor((F.col("doc_id") - low).cast("double") * each / (high - low).cast("double"))
-    rows = docs.withColumn("_place", place).withColumn("bucket", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.col("_place") * (each + 1) + within).cast("long")).drop("_place")
-    heads = rows.groupBy("bucket").agg(F.max("doc_id").alias("head"))
-    order = Window.orderBy("bucket")  # over the heads alone: at most MOST_BUCKETS + QUANTILES rows
-    heads = heads.withColumn("ghost_bucket", F.lead("bucket").over(order)).withColumn("ghost_bucket", F.coalesce("ghost_bucket", F.min("bucket").over(Window.partitionBy())))
-    heads = heads.select("head", "ghost_bucket").dropDuplicates(["head"])
-    spread = rows.join(F.broadcast(heads), rows["doc_id"].eqNullSafe(heads["head"]), "left")
-    own = F.struct(F.col("bucket"), F.lit(False).alias("ghost"))
-    both = F.when(F.col("ghost_bucket").isNotNull(), F.array(own, F.struct(F.col("ghost_bucket").alias("bucket"), F.lit(True).alias("ghost")))).otherwise(F.array(own))
-    return spread.select("doc_id", "text", F.explode(both).alias("p")).select("doc_id", "text", "p.bucket", "p.ghost")
+def _ordered(df: DataFrame) -> DataFrame:
+    """df (doc_id, hash) with key, which ascends as ids descend, nulls last, and equal ids' hashes ascend."""
+    last = F.col("doc_id").isNull()
+    down = F.when(last, F.lit(0).cast("long")).otherwise(F.bitwise_not(F.col("doc_id").cast("long")))  # reverses the order of all 64-bit numbers
+    return df.withColumn("key", F.struct(last.cast("int").alias("last"), down.alias("down"), F.col("hash").alias("hash")))
+
+
+def _ranges(rows: DataFrame) -> tuple[DataFrame, Column, int]:
+    """(table, coarse place, ranges): first keys of ranges of about RANGE_ROWS rows in order of key, found by sorting keys alone.
+
+    The table holds them as arrays of about the root of their number, by coarse place: at most MOST_RANGES keys in all."""
+    spark = rows.sparkSession
+    keys = materialize(rows.select("key.*"), spark)
+    n = max(1, min(MOST_RANGES, keys.count() // RANGE_ROWS))
+    parts = keys.repartitionByRange(n, "last", "down", "hash").groupBy(F.spark_partition_id()).agg(F.min(F.struct("last", "down", "hash")).alias("k"))
+    heads = sorted(tuple(r["k"]) for r in parts.collect())  # at most MOST_RANGES rows
+    discard(keys, spark)
+    step = max(1, math.isqrt(len(heads)))
+    key = "struct<last:int,down:bigint,hash:bigint>"
+    fine = [(i, heads[at : at + step]) for i, at in enumerate(range(0, len(heads), step))]
+    table = spark.createDataFrame(fine, f"coarse int, fine array<{key}>")
+    firsts = F.array(*[F.struct(*[F.lit(v).cast(t) for v, t in zip(h, ("int", "long", "long"), strict=True)]).cast(key) for _, (h, *_) in fine]) if fine else F.array().cast(f"array<{key}>")
+    return table, F.greatest(F.size(F.filter(firsts, lambda h: h <= F.col("key"))) - 1, F.lit(0)), step
 
 
 def with_next(docs: DataFrame, k: int = K) -> DataFrame:
     """doc_id, text, sketch, next_text, next_sketch: beside each document the one after it by descending doc_id, beside the last the first.
 
-    Texts are shuffled once, by ranges of ids; the sketches are made after that, so that they don't travel.
-    """
-    placed = _placed(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))).repartition("bucket")
-    after = Window.partitionBy("bucket").orderBy("ghost", F.desc_nulls_last("doc_id"), "text")
-    rows = with_sketch(placed, F.col("text"), "sketch", k)
-    return rows.withColumn("next_text", F.lead("text").over(after)).withColumn("next_sketch", F.lead("sketch").over(after)).where(~F.col("ghost")).drop("ghost", "bucket")
+    Rows are dealt to ranges of the order, whose bounds come from the sorted ids themselves, so that clustered ids fill
+    no range; rows of one id, or without any, are told apart by the text's hash. The first row of a range is also put,
+    as a ghost, at the end of the range before it. Texts are shuffled once, and sketched after that."""
+    rows = _ordered(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text")))
+    table, coarse, step = _ranges(rows)
+    total = table.agg(F.sum(F.size("fine"))).first()[0] or 1
+    found = rows.withColumn("coarse", coarse).join(F.broadcast(table), "coarse")  # at most MOST_RANGES keys
+    within = F.greatest(F.size(F.filter("fine", lambda h: h <= F.col("key"))), F.lit(1))
+    found = found.withColumn("range", F.col("coarse") * step + within - 1).withColumn("head", F.element_at("fine", within) == F.col("key"))
+    own = F.struct(F.col("range"), F.lit(False).alias("ghost"))
+    ghost = F.struct(F.pmod(F.col("range") - 1, F.lit(total)).cast("int").alias("range"), F.lit(True).alias("ghost"))
+    spread = found.select("doc_id", "text", "key", F.explode(F.when(F.col("head"), F.array(own, ghost)).otherwise(F.array(own))).alias("p"))
+    placed = spread.select("doc_id", "text", "key", "p.range", "p.ghost").repartition("range")
+    after = Window.partitionBy("range").orderBy("ghost", "key")
+    sketched = with_sketch(placed, F.col("text"), "sketch", k)
+    return sketched.withColumn("next_text", F.lead("text").over(after)).withColumn("next_sketch", F.lead("sketch").over(after)).where(~F.col("ghost")).select("doc_id", "text", "sketch", "next_text", "next_sketch")
 
 
 def edited_likeness(docs: DataFrame, k: int = K) -> DataFrame:
