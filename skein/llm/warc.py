@@ -5,11 +5,15 @@ before it (of equal time: of a lesser record id). Its validators are checked: th
 have one, else the time of last modification, else nothing contradicts. If they agree, the stored headers are updated
 by those of the revisit that an update may change; headers about the body stay the stored ones.
 
-A URL may hold any share of the records: records are ranged by time into SLICES slices, the join looks within (URL,
-slice), and only the last response of each URL and slice, at most SLICES for a URL, is carried on to later slices.
+Only a full response can stand for a revisit: one whose status (of the optional column http_status) is 200, 203 or
+unknown, and that isn't marked as truncated (header WARC-Truncated). A stored 206, 304 or 5xx is passed over.
+
+A URL may hold any share of the records: records are ranged by time into slices, more of them the more records there
+are, the join looks within (URL, slice), and only the last response of each URL and slice is carried on to later slices.
 
 Odd inputs: null URLs are matched with nothing; null times come first; null header maps are empty; records of other
-kinds than response and revisit are left out; repeated rows are resolved alike, each to the same response.
+kinds than response and revisit are left out; repeated rows are resolved alike, each to the same response; other columns,
+whatever their names, are left out; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -17,7 +21,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES = 256
+#: Slices of time: one for so many records, at least and at most so many.
+SLICE_ROWS, LEAST_SLICES, MOST_SLICES = 10_000, 64, 4096
+#: Status codes of responses that hold the whole body.
+FULL = [200, 203]
 #: Headers that a not-modified response never updates.
 KEPT_HEADERS = ["connection", "content-encoding", "content-length", "content-location", "content-md5", "content-range", "content-type", "keep-alive", "proxy-authenticate", "proxy-authorization", "te", "trailer", "transfer-encoding", "upgrade"]
 
@@ -53,17 +60,20 @@ def validators_agree(stored: Column, update: Column) -> Column:
 
 
 def resolve(records: DataFrame) -> DataFrame:
-    """For each revisit of (record_id, kind, url, time, headers): record_id, url_key, resolved_id, resolved_time, status, headers.
+    """For each revisit of (record_id, kind, url, time, headers[, http_status]): record_id, url_key, resolved_id, resolved_time, status, headers.
 
     status: resolved; validator_mismatch (the latest response is another version); no_response. Unresolved revisits
     have a null resolved_id and their own headers.
     """
-    fractions = ", ".join(str(i / SLICES) for i in range(1, SLICES))
-    bounds = records.agg(F.expr(f"percentile_approx(time, array({fractions}), 10000)")).first()[0] or []
+    slices = max(LEAST_SLICES, min(MOST_SLICES, records.count() // SLICE_ROWS))
+    fractions = ", ".join(str(i / slices) for i in range(1, slices))
+    bounds = records.agg(F.expr(f"percentile_approx(time, array({fractions}), {10 * slices})")).first()[0] or []
     edges = F.array(*[F.lit(b) for b in sorted(set(bounds))]) if bounds else F.array().cast("array<long>")
-    rows = records.where(F.col("kind").isin("response", "revisit")).select("record_id", "kind", canonical_url(F.col("url")).alias("url_key"), "time", _lowered(F.col("headers")).alias("headers"))
+    status = F.col("http_status") if "http_status" in records.columns else F.lit(None).cast("int")
+    rows = records.where(F.col("kind").isin("response", "revisit")).select("record_id", "kind", canonical_url(F.col("url")).alias("url_key"), "time", _lowered(F.col("headers")).alias("headers"), F.coalesce(status.isin(FULL), F.lit(True)).alias("whole"))
+    rows = rows.withColumn("whole", F.col("whole") & F.col("headers")["warc-truncated"].isNull())
     rows = rows.withColumn("slice", F.coalesce(F.size(F.filter(edges, lambda b: b <= F.col("time"))), F.lit(-1)))
-    full = F.when((F.col("kind") == "response") & F.col("url_key").isNotNull(), F.struct("time", "record_id", "headers"))
+    full = F.when((F.col("kind") == "response") & F.col("whole") & F.col("url_key").isNotNull(), F.struct("time", "record_id", "headers"))
     inside = Window.partitionBy("url_key", "slice").orderBy("time", "record_id").rowsBetween(Window.unboundedPreceding, -1)
     near = rows.withColumn("near", F.last(full, ignorenulls=True).over(inside)).where("kind = 'revisit'")
     lasts = rows.where(full.isNotNull()).groupBy("url_key", "slice").agg(F.max_by(F.struct("time", "record_id", "headers"), F.struct("time", "record_id")).alias("own"))
