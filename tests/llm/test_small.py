@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import struct
 
 import numpy as np
 import pytest
@@ -146,7 +147,7 @@ def test_gray_index_is_exact():
 
 
 def test_fingerprints(docs, empty):
-    order = sorted(listed(docs), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    order = sorted(listed(docs), key=lambda r: (r[0] is None, -(r[0] or 0), signed(xxhash.xxh64_intdigest(r[1].encode(), 42))))
     want = []
     for (i, t), (_, after) in zip(order, order[1:] + order[:1], strict=True):
         third = len(t) // 3
@@ -157,6 +158,61 @@ def test_fingerprints(docs, empty):
     assert fingerprints.edited_likeness(empty).count() == 0
 
 
+def signed(h):
+    return h - 2**64 if h >= 2**63 else h
+
+
+def plain_shingles(text):
+    h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    out = set()
+    for run in [h[i : i + 5] for i in range(max(1, len(h) - 4))] if h else []:
+        seed = 42
+        for x in run:
+            seed = xxhash.xxh64_intdigest(struct.pack("<Q", x), seed)
+        out.add(signed(seed))
+    return out
+
+
+def test_fingerprints_against_shingle_sets(spark, docs):
+    order = sorted(listed(docs), key=lambda r: (r[0] is None, -(r[0] or 0), signed(xxhash.xxh64_intdigest(r[1].encode(), 42))))
+    least = lambda some: sorted(some)[: fingerprints.K]
+    text = lambda some: "".join(f"{h & (2**64 - 1):016x}" for h in least(some))
+
+    def like(a, b):
+        union = least(a | b)
+        return len(set(least(a)) & set(least(b)) & set(union)) / len(union) if union else 1.0
+
+    want = []
+    for (i, t), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+        third = len(t) // 3
+        own, edited, following = (plain_shingles(x) for x in (t, t[: len(t) - third] + after[:third], after))
+        want.append((str(i), text(own), text(edited), round(like(own, edited), 9), round(like(own, following), 9)))
+        assert abs(like(own, following) - (len(own & following) / len(own | following) if own | following else 1.0)) < 0.25
+    got = fingerprints.edited_likeness(docs).collect()
+    assert sorted(want) == sorted((str(r.doc_id), r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9)) for r in got)
+
+
+@pytest.mark.parametrize("kind", ["extremes", "clustered", "repeated", "spread"])
+def test_next_documents(spark, kind, monkeypatch):
+    monkeypatch.setattr(fingerprints, "RANGE_ROWS", 7)
+    rng = random.Random(3)
+    ids = {"extremes": [2**63 - 1, -(2**63), 0, -1, 1, 2**62, -(2**62)], "clustered": [*range(150), 10**15, *range(-(10**17), -(10**17) + 40)], "repeated": [5] * 60 + [None] * 60 + [6], "spread": [rng.randrange(-(2**63), 2**63) for _ in range(200)]}[kind]
+    rows = [(i, f"t{n} {n * 7} end") for n, i in enumerate(ids)]
+    rng.shuffle(rows)
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), signed(xxhash.xxh64_intdigest(r[1].encode(), 42))))
+    got = {r.text: r.next_text for r in fingerprints.with_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {a[1]: b[1] for a, b in zip(order, order[1:] + order[:1], strict=True)}
+
+
+def test_sketches_of_parts(spark):
+    texts = [f"w{i} " * 3 + " ".join(f"w{(i * j) % 97}" for j in range(200)) for i in range(9)]
+    df = spark.createDataFrame([(i % 2, t) for i, t in enumerate([*texts, ""])] + [(2, "")], "g int, t string")
+    got = {r.g: r.s for r in fingerprints.sketch_of_parts(fingerprints.with_sketch(df, F.col("t"), "s"), ["g"], "s").collect()}
+    for g in (0, 1):
+        assert got[g] == sorted(set().union(*(plain_shingles(t) for t in texts[g::2])))[: fingerprints.K]
+    assert got[2] == []
+
+
 def test_sketch_estimates(spark):
     a = " ".join(f"w{i}" for i in range(3000))
     b = " ".join(f"w{i}" for i in range(1000, 4000))
@@ -166,27 +222,77 @@ def test_sketch_estimates(spark):
     assert abs(r.j - 0.5) < 0.15 and abs(r.c - 2 / 3) < 0.2 and abs(r.n / 2996 - 1) < 0.3 and r.same
 
 
+def plain_targets(sizes, times=3.0):
+    """Water-filling by trying every level at which a source closes."""
+    weights, total = [1 + i % 3 for i in range(len(sizes))], sum(sizes)
+    shut = set()
+    while True:
+        open_ = [i for i in range(len(sizes)) if i not in shut]
+        unit = (total - sum(times * sizes[i] for i in shut)) / sum(weights[i] for i in open_) if open_ else 0
+        above = {i for i in open_ if weights[i] * unit > times * sizes[i]}
+        if not above:
+            return [times * s if i in shut else weights[i] * unit for i, s in enumerate(sizes)]
+        shut |= above
+
+
 def test_mixing(docs, empty):
     got = mixing.taken_words(docs).collect()
     assert len(got) == docs.count() and all(r.taken <= 3 * r.size for r in got)
     by = {}
     for r in got:
-        by.setdefault((r.source_size, r.target), []).append(r.taken)
-    assert all(abs(sum(v) - target) <= 1 for (_, target), v in by.items())
+        by.setdefault(r.source, []).append(r)
+    names = sorted(by, key=lambda s: (s is None, s or ""))
+    sizes = [sum(r.size for r in by[s]) for s in names]
+    for s, size, target in zip(names, sizes, plain_targets(sizes), strict=True):
+        assert all(r.source_size == size and r.target == pytest.approx(target) for r in by[s]) and abs(sum(r.taken for r in by[s]) - target) <= 1
     assert sorted(map(str, got)) == sorted(map(str, mixing.taken_words(docs.repartition(3)).collect()))
-    assert mixing.taken_words(empty).count() == 0
-    assert mixing.shared_targets([10, 10, 1], [1, 2, 3]) == pytest.approx([6, 12, 3])
+    assert mixing.taken_words(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
+    assert all((r.shard is None) == (r.taken == 0) for r in got)
     words = mixing.mixed_documents(docs).select(F.sum(mixing.size_of(F.col("text")))).first()[0]
     assert words == sum(r.taken for r in got)
 
 
+def test_pieces_are_disjoint_and_whole(spark, docs):
+    """Small blocks and shards: every word that is taken lies in one piece, and shards are of even size."""
+    rows = mixing.materialize(mixing.sized(docs.where("doc_id IS NULL OR doc_id < 60")), spark)
+    placed, pieces = mixing.mix(rows, block_words=16, shard_words=256)
+    taken = {}
+    for r in pieces.collect():
+        for w in range(r.first_word, r.first_word + r.n_words):
+            key = (r.s, r.place, r["pass"], w)
+            assert key not in taken
+            taken[key] = r.shard
+    target = {r.s: round(r.target) for r in placed.select("s", "target").distinct().collect()}
+    for s, n in target.items():
+        assert sum(k[0] == s for k in taken) == n
+    shards = [list(taken.values()).count(k) for k in range(max(taken.values()) + 1)]
+    assert len(shards) > 5 and max(shards) - min(shards) < 16 * (len(target) + 2)
+
+
+def test_any_number_of_sources(spark, monkeypatch):
+    """Beyond the broadcast, and with several groups of sources."""
+    rows = [(i, " ".join(["w"] * (1 + i % 7)), f"host{i % 400}") for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    few = sorted(map(str, mixing.taken_words(df).drop("shard", "ordinal").collect()))
+    monkeypatch.setattr(mixing, "MOST_BROADCAST", 10)
+    monkeypatch.setattr(mixing, "GROUP", 30)
+    assert sorted(map(str, mixing.taken_words(df).drop("shard", "ordinal").collect())) == few
+    sizes = {r.source: r.size for r in df.groupBy("source").agg(F.sum(mixing.size_of(F.col("text"))).alias("size")).collect()}
+    want = dict(zip(sorted(sizes), plain_targets([sizes[s] for s in sorted(sizes)]), strict=True))
+    found = {r.source: r.target for r in mixing.taken_words(df).select("source", "target").distinct().collect()}
+    assert found == {s: pytest.approx(t) for s, t in want.items()}
+
+
 def test_splitting_tree_is_exact():
-    quotas, shards = [100, 7, 0, 33], 9
-    parts = [mixing.shard_quotas(quotas, shards, m, 1, {}) for m in range(shards)]
-    assert np.sum([n for _, n in parts], axis=0).tolist() == quotas
-    ends = np.cumsum([n for _, n in parts], axis=0)
-    assert all((parts[m][0] == (ends[m - 1] if m else 0)).all() for m in range(shards))
-    assert max(n.sum() for _, n in parts) - min(n.sum() for _, n in parts) <= 1
+    groups, shards = [[100, 7, 0, 33], [5, 60], [0]], 9
+    totals = [sum(g) for g in groups]
+    parts = [[mixing.shard_quotas(totals, g, quotas, shards, m, 1, {}) for m in range(shards)] for g, quotas in enumerate(groups)]
+    for quotas, own in zip(groups, parts, strict=True):
+        assert np.sum([n for _, n in own], axis=0).tolist() == quotas
+        ends = np.cumsum([n for _, n in own], axis=0)
+        assert all((own[m][0] == (ends[m - 1] if m else 0)).all() for m in range(shards))
+    sizes = [sum(own[m][1].sum() for own in parts) for m in range(shards)]
+    assert max(sizes) - min(sizes) <= 1
 
 
 def test_embeddings(spark):
@@ -250,7 +356,8 @@ def test_personal_data(spark, docs, empty):
 
 def added(spark, texts, count=300):
     """The spans that are found beyond the base spans, as (kind, text), by text."""
-    base = [f"call +1 (2{i % 90 + 10}) 555-3{i:03d} or mail n{i}@host{i}.com now, not me@home" for i in range(60)]
+    ends, other = [" now", ", or else", "."], [("not", ""), ("see", ", yes"), ("at", ".")]
+    base = [f"call +1 (2{i % 90 + 10}) 555-3{i:03d}{ends[i % 3]} or mail n{i}@host{i}.com{ends[i // 3 % 3]} and {other[i % 3][0]} me@home{other[i % 3][1]}" for i in range(60)]
     texts = texts + base + [f"{texts[0]} {i}" for i in range(count)]
     out = {}
     for r in pii.found(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
@@ -268,6 +375,36 @@ def test_emails_beyond_the_base_pattern(spark):
     assert {r.text for r in pii.redacted(spark.createDataFrame([(i, t) for i, t in enumerate(texts[:1] + ["mail n@h.com, or wait"] * 30 + [f"mail n{i}@h.com, or wait" for i in range(60)])], "doc_id long, text string")).collect()} == {"mail [EMAIL], or wait"}
 
 
+def test_recall_of_planted_forms(spark):
+    """Addresses in forms that the base pattern misses, in documents of a corpus that has plain ones too; numbers and marks that only look like them stay."""
+    rng = random.Random(9)
+    hosts = ["example", "post", "firma"]
+    name = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    plain = lambda: f"{name()}@{rng.choice(hosts)}.com"
+    wide = [lambda: f"{name()} [at] {rng.choice(hosts)} [dot] com", lambda: f"{name()}(at){rng.choice(hosts)}.com", lambda: f"{name()}@bücher.de", lambda: f"(2{rng.randrange(10, 99)}) 555-{rng.randrange(1000, 9999)}", lambda: f"2{rng.randrange(10, 99)}.555.{rng.randrange(1000, 9999)}"]
+    lead, tail = ["write to ", "reach me: ", "mail ", "call "], [" soon.", ", thanks", " or wait", "."]
+    texts, planted = [], []
+    for i in range(600):
+        own = wide[i % 5]() if i % 4 == 0 else plain() if i % 2 else f"+1 (2{i % 90:02d}) 555-{i + 1000}"
+        texts.append(f"{name()} {name()} {rng.choice(lead)}{own}{rng.choice(tail)} nobody@home {rng.randrange(10**7, 10**8)} {name()}")
+        planted.append((own, i % 4 == 0))
+    hit = false = 0
+    for r in pii.found(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        spans_ = [texts[r.doc_id][int(a) : int(b)] for _, a, b in (s.split(":") for s in r.spans.split(",") if s)]
+        own, hard = planted[r.doc_id]
+        hit += hard and own in spans_
+        false += sum(s != own for s in spans_)
+    assert hit >= 0.85 * 150 and false == 0
+
+
+def test_many_matches_in_one_text(spark):
+    text = " ".join(f"10.{i % 256}.0.{i // 256 % 256} a{i}@b.cd" for i in range(20_000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = pii.found(df).first()
+    assert (got.n_ip, got.n_email) == (20_000, 20_000) and got.base_sha256 == hashlib.sha256(plain_spans(text).encode()).hexdigest()
+    assert pii.redacted(df).first().text == " ".join(["[IP] [EMAIL]"] * 20_000)
+
+
 def test_phones_without_a_plus(spark):
     wide = ["(269) 555-3296", "269-555-3296", "269.555.3296"]
     texts = [f"call {w} or wait" for w in wide] + ["card 4111 1111 1111 1111 of 12-34 or 269-5553296"]
@@ -277,17 +414,32 @@ def test_phones_without_a_plus(spark):
 
 def test_chat(spark):
     said = r"\### Assistant: </turn> ok"
-    rows = [(1, 0, "user", said), (1, 1, "assistant", said), (2, 0, "assistant", "x" * 2000), (2, 1, "assistant", "####\\"), (2, 1, "assistant", "####\\"), (None, 0, "a:b\n", None), (3, None, None, "é")]
+    rows = [(1, 0, "user", said), (1, 1, "assistant", said), (2, 0, "assistant", "x" * 2000), (2, 1, "assistant", "####\\"), (2, 1, "assistant", "####\\"), (None, 0, "a:b\n", None), (3, None, None, "é"), (4, 0, "user", "</turn>\n### assistant: </turn>\n"), (4, 1, "assistant", "<\\/turn></turn"), (4, 2, "assistant", ""), (5, 0, "assistant", "long </turn> " * 100_000)]
+    rows += [(6, i, "assistant", f"turn {i} " * (i % 5)) for i in range(60)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    got = {r.conv_id: r for r in chat.digests(chat.formatted(df)).collect()}
+    pieces = chat.formatted(df)
+    assert pieces.where("instr(substring(piece, 5, char_length(piece) - 12), '</turn>') > 0 OR instr(substring(piece, 5), '###') > 0").count() == 0
+    got = {r.conv_id: r for r in chat.digests(pieces).collect()}
     for conv in {r[0] for r in rows}:
         own = [(r[2] or "", r[3] or "") for r in rows if r[0] == conv]
         learned = "".join(t for role, t in own if role == "assistant")
-        assert got[conv].turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in own).encode()).hexdigest()
+        assert got[conv].turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in own).encode()).hexdigest(), conv
         assert (got[conv].n_turns, got[conv].loss_chars, got[conv].loss_sha256) == (len(own), len(learned), hashlib.sha256(learned.encode()).hexdigest())
+    kinds = {r.kind for r in chat.events_of(df).select("kind").distinct().collect()}
+    assert kinds == {"start", "delta", "edit", "regenerate"}
     assert chat.digests(chat.formatted(df.limit(0))).count() == 0
 
 
+@given(st.lists(st.tuples(st.text("a:#<\\\n", max_size=4), st.text("#</turn>\\\n: é", max_size=12)), max_size=4), st.integers(1, 9))
+def test_reading_back_whole_outputs(turns, step):
+    plain = lambda t: t.replace("\\", "\\\\").replace("###", "\\#\\#\\#").replace("</turn>", "<\\/turn>")
+    whole = "".join(f"### {plain(r).replace(':', chr(92) + ':').replace(chr(10), chr(92) + chr(10))}: {plain(t)}</turn>\n" for r, t in turns)
+    reader = chat.Reader()
+    got = [x for i in range(0, len(whole), step) for x in reader.feed(whole[i : i + step])]
+    reader.close()
+    assert [(r, t) for r, t, _, _ in got] == turns and all(chat.unescaped(whole[a:b]) == t for _, t, a, b in got)
+
+
 def test_fold_of_edits(spark):
     log = [(1, "a", 1, "start", "user", None), (1, "a", 2, "delta", None, "hel"), (1, "a", 3, "delta", None, "lo"), (1, "b", 4, "start", "assistant", None), (1, "b", 5, "delta", None, "bad"), (1, "b", 6, "regenerate", None, None), (1, "b", 8, "delta", None, "od"), (1, "b", 7, "delta", None, "go"), (1, "a", 9, "edit", None, "hi"), (1, "a", 10, "delta", None, "!")]
     out = chat.fold(spark.createDataFrame(log, "conv_id long, msg_id string, seq long, kind string, role string, text string")).orderBy("first_seq").collect()
