@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import functools
+import math
+import os
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.ids import source_of
 from ..functions.metric import count_bucket, precision, recall, source_mix
+from .blocking import rank_within_s1
 
 
 def score_breakdown(entities: DataFrame, truth: DataFrame) -> DataFrame:
@@ -20,14 +26,15 @@ def score_breakdown(entities: DataFrame, truth: DataFrame) -> DataFrame:
     return sets.select(group.alias("group"), value.alias("value"), "count", "f05", "precision", "recall")
 
 
-def blocking_volume(candidates: DataFrame, s1: DataFrame, n_pool: int) -> DataFrame:
+def blocking_volume(candidates: DataFrame, s1: DataFrame, n_pool: float) -> DataFrame:
     """Candidates of an entity, entities without any included, and the reduction ratio."""
     per = _per_s1(candidates, s1)
     return per.agg(F.count(F.lit(1)).alias("n_s1"), F.sum("n").alias("n_pairs"), F.avg("n").alias("mean"), F.median("n").alias("median"), F.max("n").alias("max"), (F.avg((F.col("n") == 0).cast("int")) * 100).alias("pct_zero"), (1 - F.sum("n") / (F.count(F.lit(1)) * float(n_pool))).alias("reduction"))
 
 
 def _per_s1(candidates: DataFrame, s1: DataFrame) -> DataFrame:
-    counts = candidates.groupBy("s1_id").agg(F.count(F.lit(1)).alias("n"))
+    """Distinct candidates of each entity of s1, entities without any included; pairs of other entities don't count."""
+    counts = candidates.select("s1_id", "cand_id").distinct().groupBy("s1_id").agg(F.count(F.lit(1)).alias("n"))
     return s1.join(counts, "s1_id", "left").na.fill(0, ["n"])
 
 
@@ -56,38 +63,170 @@ def coverage(ranks: DataFrame, n_candidates: Column | None = None) -> DataFrame:
     return per.agg(F.count(F.lit(1)).alias("n_s1"), (F.avg(F.col("whole").cast("int")) * 100).alias("pct_fully_covered"))
 
 
-def errors(matches: DataFrame, truth: DataFrame, scores: DataFrame, n: int) -> DataFrame:
-    """False positives and false negatives with scores, the n highest of each; a false negative without score isn't a candidate."""
-    a = matches.select("s1_id", "cand_id").distinct().withColumn("p", F.lit(True))
-    b = truth.select("s1_id", "cand_id").distinct().withColumn("t", F.lit(True))
+def true_share(ranks: DataFrame, candidates: DataFrame, s1: DataFrame) -> DataFrame:
+    """One row: candidate pairs of known entities, the true ones among them, their share in percent, and missed true pairs."""
+    pairs = candidates.select("s1_id", "cand_id").distinct().join(s1.select("s1_id"), "s1_id", "left_semi").agg(F.count(F.lit(1)).alias("n_pairs"))
+    hits = ranks.agg(F.count("rank").alias("n_hit"), F.count_if(F.col("rank").isNull()).alias("n_missed"))
+    return pairs.crossJoin(hits).select("n_pairs", "n_hit", F.try_divide(F.col("n_hit") * 100.0, F.col("n_pairs")).alias("pct_candidates_true"), "n_missed")  # one row each
+
+
+def missed(ranks: DataFrame) -> DataFrame:
+    """True pairs that no blocker proposed, with country and source."""
+    return ranks.where("rank IS NULL").select("s1_id", "cand_id", "country", source_of(F.col("cand_id")).alias("cand_source"))
+
+
+def blocking_stats(candidates: DataFrame, records: DataFrame, truth: DataFrame | None = None, ks: tuple[int, ...] = (1, 5, 10, 20, 40), order: str = "blend_rank") -> dict:
+    """Volume of candidates over the entities of records (entity_id, source, country), and with truth their recall.
+
+    Pairs of entities that records lack are left out. Tables are small and collected, but for missed, a DataFrame."""
+    s1 = records.where("source = 'S1'").select(F.col("entity_id").alias("s1_id"), F.coalesce("country", F.lit("<unknown>")).alias("country")).dropDuplicates(["s1_id"])
+    pool = records.where("source <> 'S1'").count()
+    volume = blocking_volume(candidates, s1, pool or float("nan")).first().asDict()
+    out = {"volume": volume, "n_pool": pool, "by_country": [r.asDict() for r in blocking_by_country(candidates, s1).orderBy("country").collect()], "ks": list(ks)}
+    if truth is None:
+        return out
+    known = candidates.join(s1.select("s1_id"), "s1_id", "left_semi").dropDuplicates(["s1_id", "cand_id"])
+    ranks = truth_ranks(rank_within_s1(known, order), truth.select("s1_id", "cand_id").distinct(), s1)
+    recall_rows = [r.asDict() for r in recall_at(ranks, list(ks)).orderBy("level", "value").collect()]
+    return out | {"recall": recall_rows, "coverage": coverage(ranks).first().asDict(), "true": true_share(ranks, candidates, s1).first().asDict(), "missed": missed(ranks)}
+
+
+def recall_gate(stats: dict, k: int = 40, least: float = 0.97) -> bool:
+    """Whether the recall at k of all true pairs reaches the target; k must be one of the ranks that were measured."""
+    return next(r for r in stats["recall"] if r["level"] == "all")[f"recall_{k}"] >= least
+
+
+def blocking_markdown(stats: dict, title: str = "Blocking") -> str:
+    v, lines = stats["volume"], [f"# {title}", ""]
+    reduction = "unknown" if v["reduction"] is None or math.isnan(v["reduction"]) else f"{v['reduction']:.6f}"
+    lines += [f"- entities {v['n_s1']:,}, pool {stats['n_pool']:,}, pairs {v['n_pairs'] or 0:,}", f"- candidates an entity: mean {v['mean'] or 0:.2f}, median {v['median'] or 0:.1f}, most {v['max'] or 0:,}; none for {v['pct_zero'] or 0:.2f} %", f"- reduction {reduction}"]
+    if "recall" in stats:
+        t, c = stats["true"], stats["coverage"]
+        lines += [f"- true pairs found {t['n_hit']:,}, missed {t['n_missed']:,}; of the candidates {t['pct_candidates_true'] or 0:.2f} % are true; {c['pct_fully_covered'] or 0:.2f} % of entities with matches are fully covered", "", "## Recall", "", _markdown(stats["recall"])]
+    lines += ["", "## By country", "", _markdown(stats["by_country"])]
+    if "missed" in stats:
+        lines += ["", "## First missed pairs", "", _markdown([r.asDict() for r in stats["missed"].orderBy("s1_id", "cand_id").limit(20).collect()])]
+    return "\n".join(lines) + "\n"
+
+
+def _markdown(rows: list[dict]) -> str:
+    from ..sources.tsv import markdown_table
+
+    return markdown_table(list(rows[0]), [list(r.values()) for r in rows]) if rows else "none"
+
+
+def write_blocking_report(stats: dict, folder: str, title: str = "Blocking") -> None:
+    """blocking.md and blocking.json in a folder of the driver's, and the missed pairs as TSV."""
+    from ..sources import tsv
+
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/blocking.md", "w", encoding="utf-8") as out:
+        out.write(blocking_markdown(stats, title))
+    with open(f"{folder}/blocking.json", "w", encoding="utf-8") as out:
+        out.write(tsv.to_json({k: v for k, v in stats.items() if k != "missed"}))
+    if "missed" in stats:
+        tsv.write_tsv(stats["missed"], f"{folder}/blocking_missed")
+
+
+def errors(matches: DataFrame, truth: DataFrame, n: int, scores: DataFrame | None = None, records: DataFrame | None = None) -> DataFrame:
+    """The n false positives of highest score and the n false negatives of highest score.
+
+    With records (entity_id, source, country, name_raw, addr_raw) only entities among them count, and both sides' text
+    and the country are joined to the n rows of each type. in_candidates is null without scores."""
+    a, b = (rows.select("s1_id", "cand_id").distinct().withColumn(name, F.lit(True)) for rows, name in ((matches, "p"), (truth, "t")))
     wrong = a.join(b, ["s1_id", "cand_id"], "full").where("p IS NULL OR t IS NULL").select("s1_id", "cand_id", F.when(F.col("p"), "FP").otherwise("FN").alias("error_type"))
-    scored = wrong.join(scores.select("s1_id", "cand_id", "p_final"), ["s1_id", "cand_id"], "left")
+    if records is not None:
+        wrong = wrong.join(records.where("source = 'S1'").select(F.col("entity_id").alias("s1_id")), "s1_id", "left_semi")
+    if scores is not None:
+        wrong = wrong.join(scores.select("s1_id", "cand_id", "p_final"), ["s1_id", "cand_id"], "left").withColumn("in_candidates", F.col("p_final").isNotNull())
+    else:
+        wrong = wrong.withColumns({"p_final": F.lit(None).cast("double"), "in_candidates": F.lit(None).cast("boolean")})
     order = Window.partitionBy("error_type").orderBy(F.col("p_final").desc_nulls_last(), "s1_id", "cand_id")
-    return scored.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n).withColumn("in_candidates", F.col("p_final").isNotNull())
-
-
-def validate_lists(lists: DataFrame, s1: DataFrame, column: str) -> DataFrame:
-    """(rule, level, n) of a two-column submission: one row an entity, ids of S2 and S3 only, none twice."""
-    from ..functions.ids import parse_id_list
-
-    rows = lists.select("source1_entity_id", parse_id_list(F.col(column)).alias("ids"))
-    ids = rows.select("source1_entity_id", F.explode("ids").alias("id"))
-    checks = {
-        "duplicate_entities": rows.groupBy("source1_entity_id").count().where("count > 1"),
-        "missing_entities": s1.select("s1_id").join(rows, F.col("s1_id") == F.col("source1_entity_id"), "left_anti"),
-        "unknown_entities": rows.join(s1, F.col("s1_id") == F.col("source1_entity_id"), "left_anti"),
-        "repeated_ids": ids.groupBy("source1_entity_id", "id").count().where("count > 1"),
-        "self_matches": ids.where("id LIKE 'S1-%'"),
-        "bad_prefixes": ids.where("id NOT RLIKE '^S[123]-'"),
-    }
-    out = None
-    for rule, found in checks.items():
-        one = found.agg(F.count(F.lit(1)).alias("n")).select(F.lit(rule).alias("rule"), F.lit("error").alias("level"), "n")
-        out = one if out is None else out.unionByName(one)
-    return out
+    top = wrong.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n)
+    if records is None:
+        return top
+    top = F.broadcast(top)  # 2 n rows
+    for side in ("s1", "cand"):
+        text = records.select(F.col("entity_id").alias(f"{side}_id"), F.col("name_raw").alias(f"{side}_name"), F.col("addr_raw").alias(f"{side}_addr"), *([F.col("country")] if side == "s1" else []))
+        kept = text.join(top.select(f"{side}_id").distinct(), f"{side}_id", "left_semi").dropDuplicates([f"{side}_id"])
+        top = top.join(kept, f"{side}_id", "left")
+    return top
+
+
+#: The rules of a submission: name, whether a finding is an error or a warning.
+RULES = {"malformed_rows": "error", "duplicate_entities": "error", "missing_entities": "error", "unknown_entities": "error", "repeated_ids": "error", "self_matches": "error", "bad_prefixes": "error", "unknown_ids": "error", "match_not_candidate": "warning"}
+EXAMPLES = 3
+
+
+def _summed(findings: DataFrame, rules: list[str]) -> DataFrame:
+    """(rule, level, n, examples) of (rule, offender): distinct offenders, the first EXAMPLES by order; rules without any have n = 0."""
+    each = findings.where(F.col("offender").isNotNull()).distinct()
+    place = F.row_number().over(Window.partitionBy("rule").orderBy("offender"))
+    shown = each.withColumn("k", place).where(F.col("k") <= EXAMPLES).groupBy("rule").agg(F.array_join(F.array_sort(F.collect_list("offender")), ", ").alias("examples"))
+    counts = each.groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+    known = findings.sparkSession.createDataFrame([(r, RULES[r]) for r in rules], "rule string, level string")
+    return known.join(counts, "rule", "left").join(shown, "rule", "left").select("rule", "level", F.coalesce("n", F.lit(0)).cast("long").alias("n"), F.coalesce("examples", F.lit("")).alias("examples"))
+
+
+def validate_lists(lists: DataFrame, s1: DataFrame, column: str, known_ids: DataFrame | None = None, candidates: DataFrame | None = None) -> DataFrame:
+    """(rule, level, n, examples) of a two-column submission (source1_entity_id, column).
+
+    One row for each entity of s1 (s1_id) and no other; ids of S2 and S3 only, none twice in a list; with known_ids
+    (entity_id) each id must be among them. With candidates (s1_id, cand_id) entities with matches outside are a
+    warning. A null entity is a row without a tab: malformed, its text in column."""
+    malformed = lists.where("source1_entity_id IS NULL").select(F.lit("malformed_rows").alias("rule"), F.col(column).alias("offender"))
+    rows = lists.where("source1_entity_id IS NOT NULL").select(F.col("source1_entity_id").alias("s1_id"), F.split(F.coalesce(column, F.lit("")), ",").alias("ids"))
+    ids = rows.select("s1_id", F.explode(F.when(F.array_join("ids", "") == "", F.array().cast("array<string>")).otherwise(F.col("ids"))).alias("id"))
+    named = lambda rule, df, offender: df.select(F.lit(rule).alias("rule"), F.col(offender).alias("offender"))
+    per = rows.groupBy("s1_id").agg(F.count(F.lit(1)).alias("n"))
+    both = per.withColumn("given", F.lit(True)).join(s1.select("s1_id").distinct().withColumn("wanted", F.lit(True)), "s1_id", "full")
+    prefix = source_of(F.col("id"))
+    rule = F.when((prefix == "S1") & F.col("id").contains("-"), "self_matches").when(~(prefix.isin("S2", "S3") & F.col("id").contains("-")), "bad_prefixes")
+    entity_rules = F.explode(F.array_compact(F.array(F.when(F.col("n") > 1, "duplicate_entities"), F.when(F.col("given").isNull(), "missing_entities"), F.when(F.col("wanted").isNull(), "unknown_entities"))))
+    findings = [malformed, both.select(entity_rules.alias("rule"), F.col("s1_id").alias("offender")), named("repeated_ids", rows.where(F.size("ids") > F.size(F.array_distinct("ids"))), "s1_id"), ids.select(rule.alias("rule"), F.col("id").alias("offender")).where("rule IS NOT NULL")]
+    rules = [r for r in RULES if r not in ("unknown_ids", "match_not_candidate")]
+    if known_ids is not None:
+        rules.append("unknown_ids")
+        findings.append(named("unknown_ids", ids.where(rule.isNull()).join(known_ids.select(F.col("entity_id").alias("id")), "id", "left_anti"), "id"))
+    if candidates is not None:
+        rules.append("match_not_candidate")
+        outside = ids.select("s1_id", F.col("id").alias("cand_id")).distinct().join(candidates.select("s1_id", "cand_id"), ["s1_id", "cand_id"], "left_anti")
+        findings.append(named("match_not_candidate", outside, "s1_id"))
+    return _summed(functools.reduce(DataFrame.unionByName, findings), rules)
 
 
 def matches_outside_candidates(matches: DataFrame, candidates: DataFrame) -> DataFrame:
     """The warning: matches that no candidate list has."""
     missing = matches.select("s1_id", "cand_id").distinct().join(candidates, ["s1_id", "cand_id"], "left_anti")
     return missing.agg(F.count(F.lit(1)).alias("n")).select(F.lit("match_not_candidate").alias("rule"), F.lit("warning").alias("level"), "n")
+
+
+def validate_files(spark: SparkSession, matching: str, s1: DataFrame, candidates: str | None = None, known_ids: DataFrame | None = None) -> DataFrame:
+    """(file, rule, level, n, examples) of the two files of a submission, each a TSV file or a folder of parts.
+
+    A missing, empty, comma-separated or otherwise headed matching file is one finding and its rows aren't read; a
+    missing candidate file is a warning. Without known_ids a warning says that ids weren't looked up."""
+    from ..sources import tsv
+
+    def listed(path: str, columns: list[str]) -> tuple[DataFrame | None, list[tuple]]:
+        try:
+            return tsv.read_id_lines(spark, path, columns), []
+        except ValueError as e:
+            return None, [("header", "error", 1, str(e))]
+        except FileNotFoundError:
+            return None, [("not_found", "error" if columns == tsv.TRUTH_COLUMNS else "warning", 1, path)]
+
+    out, schema = None, "rule string, level string, n long, examples string"
+    wanted, match_problems = listed(matching, tsv.TRUTH_COLUMNS)
+    pool, pool_problems = listed(candidates, tsv.CANDIDATE_COLUMNS) if candidates else (None, [])
+    pairs = None if pool is None else pool.where("source1_entity_id IS NOT NULL").select(F.col("source1_entity_id").alias("s1_id"), F.explode(F.split("candidate_entity_ids", ",")).alias("cand_id"))
+    notes = [] if known_ids is not None else [("ids_not_checked", "warning", 1, "")]
+    for name, lists, problems, column, inside in ((matching, wanted, match_problems + notes, "matched_entity_ids", pairs), (candidates, pool, pool_problems, "candidate_entity_ids", None)):
+        if name is None:
+            continue
+        parts = [spark.createDataFrame(problems, schema)] if problems else []
+        parts += [validate_lists(lists, s1, column, known_ids, inside)] if lists is not None else []
+        for part in parts:
+            one = part.select(F.lit(name).alias("file"), "rule", "level", "n", "examples")
+            out = one if out is None else out.unionByName(one)
+    return out

@@ -16,17 +16,19 @@ def _entity(key: str) -> dict:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as records: the first 40 characters are the name, all that follow the address."""
+    """Documents as records: the first sentence is the name, all that follows the address."""
     docs = table(spark, sf_dir, "documents")
     ids = _entity("doc_id")
-    return docs.select(ids["entity_id"].alias("entity_id"), ids["source"].alias("source"), F.col("lang").alias("country"), F.substring("text", 1, 40).alias("business_name"), F.expr("substring(text, 41)").alias("business_address"))
+    name = F.regexp_extract("text", r"^[^.]*", 0)
+    return docs.select(ids["entity_id"].alias("entity_id"), ids["source"].alias("source"), F.col("lang").alias("country"), name.alias("business_name"), F.expr("substring(text, char_length(regexp_extract(text, '^[^.]*', 0)) + 1)").alias("business_address"))
 
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(s1_id, cand_id): records of S2 and S3 of the same name as one of S1."""
+    """(s1_id, cand_id): each record of S2 and S3 with the first and the last record of S1 of the same name, so that copies give at most two pairs a record."""
     rows = records(spark, sf_dir).select("entity_id", "source", "business_name")
-    s1 = rows.where("source = 'S1'").select(F.col("entity_id").alias("s1_id"), "business_name")
-    return s1.join(rows.where("source <> 'S1'").select(F.col("entity_id").alias("cand_id"), "business_name"), "business_name").select("s1_id", "cand_id")
+    ends = rows.where("source = 'S1'").groupBy("business_name").agg(F.min("entity_id").alias("a"), F.max("entity_id").alias("b"))
+    owners = ends.select("business_name", F.explode(F.array_distinct(F.array("a", "b"))).alias("s1_id"))
+    return owners.join(rows.where("source <> 'S1'").select(F.col("entity_id").alias("cand_id"), "business_name"), "business_name").select("s1_id", "cand_id")
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,3 +69,14 @@ def s1_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = _entity("vec_id")
     return table(spark, sf_dir, "embeddings").select(ids["entity_id"].alias("entity_id"), ids["source"].alias("source"), F.concat(F.lit("L"), F.col("label").cast("string")).alias("country"), F.col("embedding").cast("array<double>").alias("vector"))
+
+
+def pair_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records behind scored_pairs(): orders as entities, order lines' parts as candidates (a row for each source and line number)."""
+    columns = ["entity_id", "source", "country", "name_raw", "addr_raw"]
+    own = s1_table(spark, sf_dir).join(table(spark, sf_dir, "orders"), F.col("s1_ord") == F.col("o_orderkey"))
+    s1 = own.select(F.col("s1_id").alias("entity_id"), F.lit("S1").alias("source"), "country", F.col("o_orderpriority").alias("name_raw"), F.col("o_orderstatus").alias("addr_raw"))
+    line = table(spark, sf_dir, "lineitem").select("l_partkey", "l_linenumber").distinct().join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    source = F.when(F.col("l_linenumber") % 2 == 0, "S2").otherwise("S3")
+    cand = line.select(F.concat(source, F.lit("-"), (F.col("l_partkey") * 10 + F.col("l_linenumber")).cast("string")).alias("entity_id"), source.alias("source"), F.lit(None).cast("string").alias("country"), F.col("p_name").alias("name_raw"), F.col("p_type").alias("addr_raw"))
+    return s1.select(columns).unionByName(cand.select(columns))
