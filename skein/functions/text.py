@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import unicodedata
 
 import pandas as pd
@@ -51,11 +52,44 @@ def _plain(text: str | None) -> str | None:
     return unicodedata.normalize("NFC", "".join(out))
 
 
+def _one_letter(code: int) -> str | None:
+    """The single character that _plain() makes of an accented Latin letter, else None."""
+    char = chr(code)
+    plain = _plain(char)
+    return plain if plain != char and len(plain) == 1 and "LATIN" in unicodedata.name(char, "") else None
+
+
+def _ranges(codes: list[int]) -> str:
+    """A character class of code points, in Java's syntax."""
+    out: list[list[int]] = []
+    for code in codes:
+        if out and out[-1][1] == code - 1:
+            out[-1][1] = code
+        else:
+            out.append([code, code])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in out) + "]"
+
+
+@functools.cache
+def _fold_tables() -> tuple[str, str, str]:
+    """(accented letters, their plain ones, pattern of texts that need more than that), by rule from the Unicode tables."""
+    latin = {code: plain for code in range(0x80, 0x10000) if not 0xD800 <= code < 0xE000 and (plain := _one_letter(code))}
+    marks_and_jamo = [c for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000 and (unicodedata.category(chr(c)).startswith("M") or 0x1100 <= c < 0x1200)]
+    changed = [c for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000 and c not in latin and _plain(chr(c)) != chr(c)]
+    return "".join(map(chr, latin)), "".join(latin.values()), _ranges(sorted({*marks_and_jamo, *changed}))
+
+
 @F.pandas_udf(StringType())
-def fold_accents(text: pd.Series) -> pd.Series:
+def _fold_any(text: pd.Series) -> pd.Series:
     return text.map(_plain, na_action="ignore")
 
 
+def fold_accents(text: Column) -> Column:
+    """Compatibility forms without the marks of Latin letters. Single accented letters are mapped in the JVM; only texts with marks of their own, ligatures and the like go to Python, the others as nulls."""
+    accented, plain, other = _fold_tables()
+    return F.coalesce(_fold_any(F.when(text.rlike(other), text)), F.translate(text, accented, plain))
+
+
 def cleaned(text: Column) -> Column:
     """Lower case, dotted abbreviations collapsed, `&` as a word, blanks single."""
     out = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "&", " and ")

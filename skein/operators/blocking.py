@@ -5,13 +5,20 @@ Ties are broken by rounded score, then by candidate id, so that every result is
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import char_ngrams, tokens
+from ..sources.scratch import discard, materialize
 
 LEAST_SIM, MOST_POSTINGS, SMALL_GROUP, LEAST_DENSE_SIM = 1e-4, 200, 50, 0.65
 NONE = ("", "nan", "None")
+#: Records up to which a gram is rare; records of a gram that one task joins; rows of a block of vectors.
+FREQUENT, SALT_ROWS, DENSE_ROWS = 1000, 4096, 4096
 
 
 def top_k(pairs: DataFrame, score: str, k: int, rank: str) -> DataFrame:
@@ -21,29 +28,50 @@ def top_k(pairs: DataFrame, score: str, k: int, rank: str) -> DataFrame:
 
 
 def tfidf_postings(records: DataFrame, text: str) -> DataFrame:
-    """(entity_id, is_s1, country, gram, weight): L2-normed tf-idf of character n-grams, fitted per country on all records."""
+    """(entity_id, is_s1, country, gram, weight, df): L2-normed tf-idf of character n-grams, fitted per country on all records; df is the number of the country's records with the gram."""
     n = records.groupBy("country").agg(F.count(F.lit(1)).alias("n"))
     grams = records.select("entity_id", (F.col("source") == "S1").alias("is_s1"), "country", F.explode(char_ngrams(F.col(text))).alias("gram"))
     tf = grams.groupBy("entity_id", "is_s1", "country", "gram").agg(F.count(F.lit(1)).alias("tf"))
     df = tf.groupBy("country", "gram").agg(F.count(F.lit(1)).alias("df")).join(n, "country")
-    idf = df.select("country", "gram", (F.log((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
+    idf = df.select("country", "gram", "df", (F.log((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
     raw = tf.join(idf, ["country", "gram"]).withColumn("w", F.col("tf") * F.col("idf"))
     norm = raw.groupBy("entity_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norm, "entity_id").select("entity_id", "is_s1", "country", "gram", (F.col("w") / F.col("norm")).alias("weight"))
-
-
-def tfidf_sims(records: DataFrame, text: str) -> DataFrame:
-    """Cosine of all pairs of a country that share a gram. Exact: every shared gram makes a row before the sum, which is combined before the shuffle."""
-    p = tfidf_postings(records, text)
-    a = p.where("is_s1").select(F.col("entity_id").alias("s1_id"), "country", "gram", F.col("weight").alias("a"))
-    b = p.where("NOT is_s1").select(F.col("entity_id").alias("cand_id"), "country", "gram", F.col("weight").alias("b"))
-    return a.join(b, ["country", "gram"]).groupBy("s1_id", "cand_id").agg(F.sum(F.col("a") * F.col("b")).alias("sim"))
-
-
-def block_tfidf(records: DataFrame, text: str, k: int, rank: str, sim: str) -> DataFrame:
-    """Cosine nearest neighbours by character n-grams within a country."""
-    near = tfidf_sims(records, text).where(F.col("sim") >= LEAST_SIM)
-    return top_k(near, "sim", k, rank).select("s1_id", "cand_id", rank, F.col("sim").alias(sim))
+    return raw.join(norm, "entity_id").select("entity_id", "is_s1", "country", "gram", (F.col("w") / F.col("norm")).alias("weight"), "df")
+
+
+def _products(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(s1_id, cand_id, sim): sums of products over shared grams. A gram of many records is dealt to several tasks by the candidates' hash."""
+    parts = F.ceil(F.col("df") / SALT_ROWS)
+    left = a.select("s1_id", "country", "gram", "a", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
+    right = b.select("cand_id", "country", "gram", "b", F.pmod(F.xxhash64("cand_id"), parts).alias("part"))
+    return left.join(right, ["country", "gram", "part"]).groupBy("s1_id", "cand_id").agg(F.sum(F.col("a") * F.col("b")).alias("sim"))
+
+
+def block_tfidf(records: DataFrame, text: str, k: int, rank: str, sim: str, frequent: int = FREQUENT) -> DataFrame:
+    """Cosine nearest neighbours by character n-grams within a country, exact without meeting all pairs.
+
+    Grams of up to `frequent` records are joined first; the k-th best sum bounds the entity's k-th neighbour from below.
+    What the most frequent grams could add at most (own weight times the country's largest) is added up; as long as
+    that stays below the bound they can't bring in a neighbour by themselves, so they aren't joined, and what they add
+    to pairs that were found is summed pair by pair."""
+    spark = records.sparkSession
+    p = materialize(tfidf_postings(records, text), spark)
+    a = p.where("is_s1").select(F.col("entity_id").alias("s1_id"), "country", "gram", F.col("weight").alias("a"), "df")
+    b = p.where("NOT is_s1").select(F.col("entity_id").alias("cand_id"), "country", "gram", F.col("weight").alias("b"), "df")
+    rare = F.col("df") <= frequent
+    sums = materialize(_products(a.where(rare), b.where(rare)), spark)
+    bound = top_k(sums, "sim", k, "r").where(F.col("r") == k).select("s1_id", F.col("sim").alias("bound"))
+    most = b.where(~rare).groupBy("country", "gram").agg(F.max("b").alias("most"))
+    reach = F.sum(F.col("a") * F.col("most")).over(Window.partitionBy("s1_id").orderBy(F.desc("df"), "gram").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    common = a.where(~rare).join(most, ["country", "gram"]).join(bound, "s1_id", "left").withColumn("idle", F.coalesce(reach < F.col("bound") - 2e-6, F.lit(False)))
+    joined = _products(common.where("NOT idle"), b.where(~rare))
+    pairs = materialize(sums.unionByName(joined).groupBy("s1_id", "cand_id").agg(F.sum("sim").alias("sim")), spark)
+    idle = common.where("idle").select("s1_id", "gram", "a")
+    extra = pairs.join(idle, "s1_id").join(b.where(~rare).select("cand_id", "gram", "b"), ["cand_id", "gram"]).groupBy("s1_id", "cand_id").agg(F.sum(F.col("a") * F.col("b")).alias("sim"))
+    near = pairs.unionByName(extra).groupBy("s1_id", "cand_id").agg(F.sum("sim").alias("sim")).where(F.col("sim") >= LEAST_SIM)
+    out = materialize(top_k(near, "sim", k, rank).select("s1_id", "cand_id", rank, F.col("sim").alias(sim)), spark)  # k rows an entity
+    discard(p, sums, pairs)
+    return out
 
 
 def block_rare_tokens(records: DataFrame, text: str, k: int = 20, most: int = MOST_POSTINGS) -> DataFrame:
@@ -84,21 +112,61 @@ def block_numeric(records: DataFrame, k: int = 10, most: int = MOST_POSTINGS, sm
     return top_k(local.unionByName(everywhere), "shared", k, "rank_b4").select("s1_id", "cand_id", "rank_b4", "shared")
 
 
+def _nearest(k: int, least: float):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        """The k best candidates of each entity of a block pair, ties of the k-th included (they are broken later, over all blocks)."""
+        if not len(left) or not len(right):
+            return pa.table({"s1_id": pa.array([], pa.string()), "cand_id": pa.array([], pa.string()), "sim_b5": pa.array([], pa.float64())})
+        s1, cand = left["s1_id"], right["cand_id"]
+        x, y = (np.asarray(c.combine_chunks().flatten(), float).reshape(len(c), -1) for c in (left["x"], right["y"]))
+        found = []
+        for at in range(0, len(x), 512):
+            sims = x[at : at + 512] @ y.T
+            limit = np.full((len(sims), 1), least)
+            if sims.shape[1] > k:
+                limit = np.maximum(limit, np.partition(sims, -k, axis=1)[:, -k, None] - 2e-6)
+            row, column = np.nonzero(sims >= limit)
+            found.append((row + at, column, sims[row, column]))
+        row, column, sim = (np.concatenate(c) for c in zip(*found, strict=True))
+        return pa.table({"s1_id": s1.take(pa.array(row)), "cand_id": cand.take(pa.array(column)), "sim_b5": sim})
+
+    return run
+
+
 def block_dense(vectors: DataFrame, k: int = 25, least: float = LEAST_DENSE_SIM, restrict_country: bool = False) -> DataFrame:
     """Exact cosine neighbours of (entity_id, source, country, vector), over all countries unless restricted.
 
-    Entities are dealt to blocks, and each block meets all candidates; the best k of a block's entity are kept per task
-    before the shuffle."""
+    Entities and candidates are dealt to blocks of about DENSE_ROWS rows; each pair of blocks (of a country, if
+    restricted) is one product of matrices in one task, which gives back the k best of each entity only. Vectors that
+    are null or zero have no neighbours; all must have one length."""
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, v: s + v * v))
-    unit = vectors.select("entity_id", "source", "country", F.transform("vector", lambda v: v / norm).alias("v"))
-    a = unit.where("source = 'S1'").select(F.col("entity_id").alias("s1_id"), F.col("country").alias("c1"), F.col("v").alias("x"))
-    b = unit.where("source <> 'S1'").select(F.col("entity_id").alias("cand_id"), F.col("country").alias("c2"), F.col("v").alias("y"))
-    pairs = a.join(b, F.col("c1") == F.col("c2")) if restrict_country else a.crossJoin(b)
-    dot = F.aggregate(F.zip_with("x", "y", lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
-    near = pairs.select("s1_id", "cand_id", dot.alias("sim_b5")).where(F.col("sim_b5") >= least)
+    unit = vectors.withColumn("_norm", norm).where("_norm > 0").select("entity_id", "source", F.col("country") if restrict_country else F.lit("").alias("country"), F.transform("vector", lambda v: v / F.col("_norm")).alias("v"))
+    sides = [unit.where(w).select(F.col("entity_id").alias(i), F.col("country").alias(c), F.col("v").alias(v)) for w, i, c, v in (("source = 'S1'", "s1_id", "c1", "x"), ("source <> 'S1'", "cand_id", "c2", "y"))]
+    blocks = [max(1, -(-side.count() // DENSE_ROWS)) for side in sides]
+    own, other = (F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in blocks)
+    mine = [F.pmod(F.xxhash64(i), F.lit(n)).cast("int") for i, n in zip(("s1_id", "cand_id"), blocks, strict=True)]
+    a = sides[0].withColumn("i1", mine[0]).withColumn("j1", other).groupBy("c1", "i1", "j1")
+    b = sides[1].withColumn("j2", mine[1]).withColumn("i2", own).groupBy("c2", "i2", "j2")
+    near = a.cogroup(b).applyInArrow(_nearest(k, least), "s1_id string, cand_id string, sim_b5 double")
     return top_k(near, "sim_b5", k, "rank_b5").select("s1_id", "cand_id", "rank_b5", "sim_b5")
 
 
+def block_texts(records: DataFrame, encode: Callable[[Iterator[list[str]]], Iterator[list[list[float]]]], k: int = 25, least: float = LEAST_DENSE_SIM, batch: int = 512) -> DataFrame:
+    """Dense neighbours of name and address by a text encoder of the caller's.
+
+    encode takes an iterator over lists of at most `batch` texts and yields as many lists of vectors; it is called once
+    a task, so that a model is loaded once."""
+
+    @F.arrow_udf("array<double>")
+    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        texts = (part.to_pylist() for whole in batches for part in (whole.slice(i, batch) for i in range(0, len(whole), batch)))
+        for found in encode(texts):
+            yield pa.array(found, pa.list_(pa.float64()))
+
+    text = F.concat_ws(" ", F.coalesce("name_core", F.lit("")), F.coalesce("addr_norm", F.lit("")))
+    return block_dense(records.select("entity_id", "source", "country", vectors(text).alias("vector")), k, least)
+
+
 def union_blockers(blocks: dict[str, DataFrame], cap: int = 40) -> DataFrame:
     """All blockers' pairs in one shuffle: hits, ranks, similarities, blended rank, the best `cap` of each entity.
 

@@ -9,11 +9,11 @@ from ..functions import text as T
 
 
 def normalize(records: DataFrame, fold: bool = True) -> DataFrame:
-    """The contract columns of (entity_id, source, business_name, business_address, country). Without fold, accents stay and no Python runs."""
+    """The contract columns of (entity_id, source, business_name, business_address, country). Without fold, accents stay and no Python runs; with it, only texts with separate marks or ligatures reach Python."""
     name, address = F.coalesce("business_name", F.lit("")), F.coalesce("business_address", F.lit(""))
     rows = records.select("entity_id", "source", "country", name.alias("name_raw"), address.alias("addr_raw"))
     own = T.without_country(F.col("name_raw"), F.col("country"))
-    folded = (T.fold_accents(own), T.fold_accents("addr_raw")) if fold else (own, F.col("addr_raw"))
+    folded = (T.fold_accents(own), T.fold_accents(F.col("addr_raw"))) if fold else (own, F.col("addr_raw"))
     rows = rows.withColumn("_name", T.tokens(T.cleaned(folded[0]))).withColumn("_addr", T.canonical_address(folded[1]))
     rows = rows.withColumn("_core", T.core_tokens(F.col("_name"))).withColumn("_digits", T.digit_tokens(F.col("_addr")))
     initials = F.array_join(F.transform("_core", lambda t: F.substring(t, 1, 1)), "")

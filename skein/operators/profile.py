@@ -63,10 +63,25 @@ def truth_coverage(records: DataFrame, truth: DataFrame, s1: DataFrame) -> DataF
     return out
 
 
-def one_owner_violations(truth: DataFrame, n: int | None = None) -> DataFrame:
-    """Candidates of two or more entities, most owners first."""
-    many = truth.distinct().groupBy("cand_id").agg(N(F.lit(1)).alias("n_owners"), F.array_join(F.array_sort(F.collect_set("s1_id")), ",").alias("owners")).where("n_owners >= 2")
-    return many.orderBy(F.desc("n_owners"), "cand_id").limit(n) if n else many
+def one_owner_violations(truth: DataFrame, n: int | None = None, shown: int = 20) -> DataFrame:
+    """(cand_id, n_owners, owners): candidates of two or more entities, most owners first if only n are wanted. owners lists the first `shown` by id, so that a candidate of very many stays small."""
+    pairs = truth.select("s1_id", "cand_id").distinct()
+    many = pairs.groupBy("cand_id").agg(N(F.lit(1)).alias("n_owners")).where("n_owners >= 2")
+    if n:
+        many = many.orderBy(F.desc("n_owners"), "cand_id").limit(n)
+    first = pairs.withColumn("_k", F.row_number().over(Window.partitionBy("cand_id").orderBy("s1_id"))).where(F.col("_k") <= shown)
+    owners = first.groupBy("cand_id").agg(F.array_join(F.array_sort(F.collect_list("s1_id")), ",").alias("owners"))
+    return many.join(owners, "cand_id").select("cand_id", "n_owners", "owners")
+
+
+def owner_examples(truth: DataFrame, records: DataFrame, n: int = 5, shown: int = 20) -> DataFrame:
+    """The n candidates of most owners, a row for each of their first owners, with names and addresses of both (null where records lack one)."""
+    worst = one_owner_violations(truth, n, shown)
+    rows = F.broadcast(worst.select("cand_id", "n_owners", F.explode(F.split("owners", ",")).alias("s1_id")))  # n times shown rows
+    for side in ("cand", "s1"):
+        text = records.select(F.col("entity_id").alias(f"{side}_id"), F.col("business_name").alias(f"{side}_name"), F.col("business_address").alias(f"{side}_addr"))
+        rows = rows.join(text.join(rows.select(f"{side}_id").distinct(), f"{side}_id", "left_semi"), f"{side}_id", "left")
+    return rows.select("cand_id", "cand_name", "cand_addr", "n_owners", "s1_id", "s1_name", "s1_addr")
 
 
 def unmatched_share(records: DataFrame, truth: DataFrame) -> DataFrame:
@@ -103,13 +118,37 @@ def pair_ratios(records: DataFrame, pairs: DataFrame) -> DataFrame:
     return rows.select("s1_id", "cand_id", token_set_ratio("name_s1", "name_cand").alias("name_tset"), token_sort_ratio("name_s1", "name_cand").alias("name_tsort"))
 
 
+def ratio_summary(records: DataFrame, pairs: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Median token-set ratio of names, share of pairs below 50, and shares of empty addresses, over all pairs or by columns of pair_texts()."""
+    blank = lambda c: stripped(F.col(c)) == ""
+    rows = pair_texts(records, pairs).withColumns({"tset": token_set_ratio("name_s1", "name_cand"), "none_s1": blank("addr_s1"), "none_cand": blank("addr_cand")})
+    pct = lambda c, name: (F.avg(c.cast("int")) * 100).alias(name)
+    return rows.groupBy(*(by or [])).agg(N(F.lit(1)).alias("n"), F.median("tset").alias("median_tset"), pct(F.col("tset") < 50, "pct_tset_below_50"), pct(F.col("none_s1") | F.col("none_cand"), "pct_no_addr"), pct(F.col("none_s1"), "pct_no_addr_s1"), pct(F.col("none_cand"), "pct_no_addr_cand"))
+
+
+def sampled_rows(rows: DataFrame, key: list[str], n: int, seed: int = 42, by: list[str] | None = None) -> DataFrame:
+    """n rows by hash of the key, in all or of each group: the same rows whatever their order."""
+    draw = [F.xxhash64(*key, F.lit(seed)), *key]
+    if not by:
+        return rows.orderBy(*draw).limit(n)
+    return rows.withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy(*draw))).where(F.col("_k") <= n).drop("_k")
+
+
 def length_stats(records: DataFrame, column: str) -> DataFrame:
-    """p5, p50, p95 by nearest rank, maximum, share of empty and of non-ASCII values."""
-    rows = records.select("source", "country", F.col(column).alias("v"), F.char_length(column).cast("long").alias("len"))
+    """p5, p50, p95 by nearest rank, maximum, share of empty and of non-ASCII values.
+
+    Rows are counted by length first, so that the quantiles are found in running sums over lengths, not rows."""
+    rows = records.select("source", "country", (F.col(column) == "").cast("long").alias("empty"), F.col(column).rlike(r"[^\x00-\x7F]").cast("long").alias("other"), F.char_length(column).cast("long").alias("len"))
+    counts = rows.groupBy("source", "country", "len").agg(N(F.lit(1)).alias("c"), F.sum("empty").alias("empty"), F.sum("other").alias("other"))
     group = Window.partitionBy("source", "country")
-    placed = rows.withColumn("i", F.row_number().over(group.orderBy("len"))).withColumn("n", N(F.lit(1)).over(group))
-    at = lambda q: F.max(F.when(F.col("i") - 1 == F.floor((F.col("n") - 1) * q + 0.5), F.col("len")))
-    return placed.groupBy("source", "country").agg(N(F.lit(1)).alias("n"), at(0.05).alias("p5"), at(0.5).alias("p50"), at(0.95).alias("p95"), F.max("len").alias("max_len"), (F.avg((F.col("v") == "").cast("int")) * 100).alias("pct_empty"), (F.avg(F.col("v").rlike(r"[^\x00-\x7F]").cast("int")) * 100).alias("pct_non_ascii"))
+    placed = counts.withColumn("upto", F.sum("c").over(group.orderBy("len"))).withColumn("n", F.sum("c").over(group))
+
+    def at(q: float) -> Column:
+        place = F.floor((F.col("n") - 1) * q + 0.5)
+        return F.max(F.when((F.col("upto") > place) & (F.col("upto") - F.col("c") <= place), F.col("len")))
+
+    share = lambda c: F.sum(c) * 100.0 / F.sum("c")
+    return placed.groupBy("source", "country").agg(F.sum("c").alias("n"), at(0.05).alias("p5"), at(0.5).alias("p50"), at(0.95).alias("p95"), F.max("len").alias("max_len"), share("empty").alias("pct_empty"), share("other").alias("pct_non_ascii"))
 
 
 def noise_rates(records: DataFrame) -> DataFrame:
@@ -133,7 +172,7 @@ def top_tokens_pivot(top: DataFrame, countries: list[str]) -> DataFrame:
 
 def singleton_near_miss(records: DataFrame, singles: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """For n singletons, drawn by hash, the candidate of the same country whose name is most alike."""
-    drawn = singles.orderBy(F.xxhash64("s1_id", F.lit(seed)), "s1_id").limit(n)
+    drawn = sampled_rows(singles, ["s1_id"], n, seed)
     own = drawn.join(records, F.col("s1_id") == F.col("entity_id")).select("s1_id", "country", F.col("business_name").alias("name"))
     other = records.where("source <> 'S1'").select(F.col("entity_id").alias("cand_id"), "country", F.col("business_name").alias("cand_name"))
     rows = F.broadcast(own).join(other, "country")  # n rows at most

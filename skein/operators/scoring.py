@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import discard, materialize
+
 NOT_FEATURES = {"s1_id", "cand_id", "label", "fold", "low_confidence", "country"}
 
 
@@ -32,31 +38,40 @@ def _assembled(df: DataFrame, columns: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=columns, outputCol="_features", handleInvalid="keep").transform(df.na.fill(0.0, columns))
 
 
-def _classifier(seed: int, rounds: int) -> GBTClassifier:
-    return GBTClassifier(featuresCol="_features", labelCol="label", predictionCol="_p", maxDepth=5, maxIter=rounds, stepSize=0.1, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed).setRawPredictionCol("_raw").setProbabilityCol("_prob")
+#: Boosting: trees at most, rows and columns a tree sees, step.
+TREES, SHARE, STEP = 500, 0.8, 0.05
+
+
+def _classifier(seed: int, rounds: int, early: bool) -> GBTClassifier:
+    out = GBTClassifier(featuresCol="_features", labelCol="label", predictionCol="_p", maxDepth=5, maxIter=rounds, stepSize=STEP, subsamplingRate=SHARE, featureSubsetStrategy=str(SHARE), seed=seed).setRawPredictionCol("_raw").setProbabilityCol("_prob")
+    return out.setValidationIndicatorCol("_held") if early else out
 
 
 def _scored(model: GBTClassificationModel, rows: DataFrame, out: str) -> DataFrame:
     return model.transform(rows).withColumn(out, vector_to_array("_prob")[1]).drop("_p", "_raw", "_prob")
 
 
-def train_oof(features: DataFrame, n_folds: int = 5, seeds: tuple[int, ...] = (42,), rounds: int = 20) -> tuple[DataFrame, list[GBTClassificationModel]]:
-    """(scores, models): out-of-fold probabilities, mean over seeds, of every pair."""
-    columns = feature_columns(features)
-    rows = _assembled(features.join(group_folds(features, n_folds).select("s1_id", "fold"), "s1_id"), columns).persist()
-    models, parts = [], None
+def _mean(names: list[str]) -> Column:
+    return sum((F.col(n) for n in names[1:]), F.col(names[0])) / len(names)
+
+
+def train_oof(features: DataFrame, n_folds: int = 5, seeds: tuple[int, ...] = (42,), rounds: int = TREES) -> tuple[DataFrame, list[GBTClassificationModel]]:
+    """(scores, models): out-of-fold probabilities, mean over seeds, of every pair.
+
+    Trees are added up to rounds, until the loss on the fold that is left out no longer falls."""
+    columns, spark = feature_columns(features), features.sparkSession
+    rows = materialize(_assembled(features.join(group_folds(features, n_folds).select("s1_id", "fold"), "s1_id"), columns).select("s1_id", "cand_id", "fold", "label", "_features"), spark)
+    models, parts = [], []
     for fold in range(n_folds):
-        held = rows.where(F.col("fold") == fold)
-        names = []
+        marked, held, names = rows.withColumn("_held", F.col("fold") == fold), rows.where(F.col("fold") == fold), []
         for seed in seeds:
-            model = _classifier(seed, rounds).fit(rows.where(F.col("fold") != fold))
-            models.append(model)
+            models.append(_classifier(seed, rounds, True).fit(marked))
             names.append(f"_s{seed}")
-            held = _scored(model, held, names[-1])
-        mean = sum((F.col(n) for n in names[1:]), F.col(names[0])) / len(names)
-        one = held.select("s1_id", "cand_id", F.col("fold").cast("short").alias("fold"), mean.alias("p_lgbm"), F.lit(None).cast("double").alias("p_ce"), mean.alias("p_final"))
-        parts = one if parts is None else parts.unionByName(one)
-    return parts, models
+            held = _scored(models[-1], held, names[-1])
+        parts.append(held.select("s1_id", "cand_id", F.col("fold").cast("short").alias("fold"), _mean(names).alias("p_lgbm"), F.lit(None).cast("double").alias("p_ce"), _mean(names).alias("p_final")))
+    out = materialize(functools.reduce(DataFrame.unionByName, parts), spark)
+    discard(rows)
+    return out, models
 
 
 def predict(features: DataFrame, models: list[GBTClassificationModel]) -> DataFrame:
@@ -64,24 +79,58 @@ def predict(features: DataFrame, models: list[GBTClassificationModel]) -> DataFr
     for i, model in enumerate(models):
         names.append(f"_m{i}")
         rows = _scored(model, rows, names[-1])
-    mean = sum((F.col(n) for n in names[1:]), F.col(names[0])) / len(names)
-    return rows.select("s1_id", "cand_id", mean.alias("p_lgbm"), F.lit(None).cast("double").alias("p_ce"), mean.alias("p_final"))
+    return rows.select("s1_id", "cand_id", _mean(names).alias("p_lgbm"), F.lit(None).cast("double").alias("p_ce"), _mean(names).alias("p_final"))
+
 
+def train_loco(features: DataFrame, s1: DataFrame, countries: list[str], rounds: int = 100, failed: dict[str, str] | None = None) -> DataFrame:
+    """Scores of each country by a model of the others; needs two countries.
 
-def train_loco(features: DataFrame, s1: DataFrame, countries: list[str], rounds: int = 20) -> DataFrame:
-    """Scores of each country by a model of the others; needs two countries."""
+    There is no fold to watch, so the number of trees is fixed. With a dict for failed, a country whose model can't be
+    fitted (one class among the others, say) is left out and noted there."""
     if len(countries) < 2:
         raise ValueError("leave-one-country-out needs two countries")
-    columns = feature_columns(features)
-    rows = _assembled(features.join(s1.select("s1_id", "country"), "s1_id"), columns).persist()
-    out = None
+    columns, spark, parts = feature_columns(features), features.sparkSession, []
+    rows = materialize(_assembled(features.join(s1.select("s1_id", "country"), "s1_id"), columns).select("s1_id", "cand_id", "country", "label", "_features"), spark)
     for country in countries:
-        model = _classifier(42, rounds).fit(rows.where(F.col("country") != country))
-        one = _scored(model, rows.where(F.col("country") == country), "p").select("s1_id", "cand_id", F.col("p").alias("p_lgbm"), F.col("p").alias("p_final"), F.lit(country).alias("holdout_country"))
-        out = one if out is None else out.unionByName(one)
+        try:
+            model = _classifier(42, rounds, False).fit(rows.where(F.col("country") != country))
+        except Exception as error:
+            if failed is None:
+                raise
+            failed[country] = str(error)
+            continue
+        parts.append(_scored(model, rows.where(F.col("country") == country), "p").select("s1_id", "cand_id", F.col("p").alias("p_lgbm"), F.col("p").alias("p_final"), F.lit(country).alias("holdout_country")))
+    if not parts:
+        raise ValueError(f"no country could be held out: {failed}")
+    out = materialize(functools.reduce(DataFrame.unionByName, parts), spark)
+    discard(rows)
     return out
 
 
+def loco_of(features: DataFrame, s1: DataFrame, rounds: int = 100) -> tuple[DataFrame | None, dict[str, str]]:
+    """(scores, failures by country) over all countries of s1 that features have (a few values); None below two."""
+    known = sorted(r[0] for r in s1.join(features.select("s1_id").distinct(), "s1_id", "left_semi").select("country").distinct().where("country IS NOT NULL").collect())
+    failed: dict[str, str] = {}
+    return (train_loco(features, s1, known, rounds, failed) if len(known) > 1 else None), failed
+
+
+def with_cross_encoder(scores: DataFrame, texts: DataFrame, score: Callable[[Iterator[tuple[list[str], list[str]]]], Iterator[list[float]]], weight: float = 0.5, batch: int = 512) -> DataFrame:
+    """scores with p_ce, by a model of the caller's over both texts of a pair, and p_final as the weighted mean with p_lgbm.
+
+    texts is (s1_id, cand_id, a, b); score takes an iterator over pairs of lists of texts and yields as many lists of
+    probabilities, once a task. Pairs without texts keep p_final."""
+
+    @F.arrow_udf("double")
+    def probability(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        parts = ((a.slice(i, batch).to_pylist(), b.slice(i, batch).to_pylist()) for a, b in batches for i in range(0, len(a), batch))
+        for found in score(parts):
+            yield pa.array(found, pa.float64())
+
+    own = texts.select("s1_id", "cand_id", probability(F.coalesce("a", F.lit("")), F.coalesce("b", F.lit(""))).alias("p_ce"))
+    both = F.lit(1 - weight) * F.col("p_lgbm") + F.lit(weight) * F.col("p_ce")
+    return scores.drop("p_ce").join(own, ["s1_id", "cand_id"], "left").withColumn("p_final", F.coalesce(both, F.col("p_final")))
+
+
 def synthetic_scores(pairs: DataFrame, a: str, b: str, n_folds: int = 5, seed: int = 42) -> DataFrame:
     """The mean of two features in 0 to 1, missing as 0, with a fold for each entity."""
     value = lambda c: F.coalesce(F.when(~F.isnan(c), F.col(c)), F.lit(0.0))
