@@ -5,7 +5,9 @@ Doubles are rounded to six places in both. Scores that rank are rounded before t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -20,12 +22,13 @@ from ..operators import reports as R
 from ..operators import scoring as S
 from ..sources import tsv
 from ..sources import views as V
+from ..sources.scratch import materialize
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
-RECORDS = "records AS (SELECT 'S' || (doc_id % 3 + 1) || '-' || doc_id AS entity_id, 'S' || (doc_id % 3 + 1) AS source, lang AS country, substr(text, 1, 40) AS business_name, substr(text, 41) AS business_address FROM documents)"
-TRUTH = RECORDS + ", truth AS (SELECT a.entity_id AS s1_id, b.entity_id AS cand_id FROM records a JOIN records b ON a.business_name = b.business_name AND a.source = 'S1' AND b.source <> 'S1'), s1 AS (SELECT entity_id AS s1_id, country FROM records WHERE source = 'S1')"
+RECORDS = "records AS (SELECT 'S' || (doc_id % 3 + 1) || '-' || doc_id AS entity_id, 'S' || (doc_id % 3 + 1) AS source, lang AS country, regexp_extract(text, '^[^.]*') AS business_name, substr(text, length(regexp_extract(text, '^[^.]*')) + 1) AS business_address FROM documents)"
+TRUTH = RECORDS + ", ends AS (SELECT business_name, unnest(list_distinct([min(entity_id), max(entity_id)])) AS s1_id FROM records WHERE source = 'S1' GROUP BY business_name), truth AS (SELECT s1_id, entity_id AS cand_id FROM ends JOIN records USING (business_name) WHERE source <> 'S1'), s1 AS (SELECT entity_id AS s1_id, country FROM records WHERE source = 'S1')"
 PER = TRUTH + ", pairs AS (SELECT DISTINCT * FROM truth), per AS (SELECT s1.s1_id, s1.country, count(p.cand_id) AS n, count(*) FILTER (p.cand_id LIKE 'S2-%') AS n2, count(*) FILTER (p.cand_id LIKE 'S3-%') AS n3 FROM s1 LEFT JOIN pairs p ON s1.s1_id = p.s1_id GROUP BY ALL)"
 ITEMS = "items AS (SELECT 'S' || (p_partkey % 3 + 1) || '-' || p_partkey AS entity_id, 'S' || (p_partkey % 3 + 1) AS source, 'C' || (p_size % 5) AS country, p_name || ' ' || p_brand AS name_core, lower(p_type) || ' ' || p_brand || ' ' || (p_partkey % 997 + 10000) AS addr_norm, p_size || ' ' || (p_partkey % 997 + 10000) || ' ' || (p_partkey % 89 + 100) AS digits, CAST(p_partkey % 997 + 10000 AS VARCHAR) AS postal FROM part)"
 ITEM_TRUTH = "item_truth AS (SELECT a.entity_id AS s1_id, b.entity_id AS cand_id FROM items a JOIN items b USING (country, name_core) WHERE a.source = 'S1' AND b.source <> 'S1')"
@@ -112,7 +115,7 @@ def contract_duplicates(spark, d):
     return C.duplicate_keys(V.table(spark, d, "lineitem"), ["l_orderkey", "l_partkey"])
 
 
-@query("SELECT unnest(['missing columns: [''p_lgbm'', ''fold'']', 'unexpected columns: [''label'']']) AS problem")
+@query("SELECT unnest(['lacks fold, p_lgbm', 'has label beyond its contract']) AS problem")
 def contract_problems(spark, d):
     return spark.createDataFrame([(p,) for p in C.column_problems(V.scored_pairs(spark, d).columns, "scores", "train")], "problem string")
 
@@ -135,9 +138,10 @@ def sample_frame(spark, d):
     return C.sample_frame(V.truth(spark, d), "scores", own, "entity_id")
 
 
-@query(f"WITH {RECORDS}, placed AS (SELECT *, row_number() OVER (PARTITION BY country, source = 'S1' ORDER BY entity_id) AS k FROM records) SELECT entity_id, source, country FROM placed WHERE k <= CASE WHEN source = 'S1' THEN 500 ELSE 2000 END")
+@query(f"WITH {RECORDS}, placed AS (SELECT *, row_number() OVER (PARTITION BY country, source = 'S1' ORDER BY entity_id) AS k, row_number() OVER (PARTITION BY source = 'S1' ORDER BY entity_id) AS whole FROM records) SELECT entity_id, source, country FROM placed WHERE CASE WHEN source = 'S1' THEN whole <= 500 ELSE k <= 2000 END")
 def country_slice(spark, d):
-    return tsv.test_slice(V.records(spark, d)).select("entity_id", "source", "country")
+    """The slice is the feature: 500 entities in all, 2,000 candidates a country."""
+    return tsv.small_slice(V.records(spark, d)).select("entity_id", "source", "country")
 
 
 # ---------------------------------------------------------------- profiling
@@ -172,6 +176,12 @@ def one_owner_violations(spark, d):
     return P.one_owner_violations(V.truth(spark, d))
 
 
+@query(f"WITH {PER}, top AS (SELECT cand_id, count(*) AS n_owners FROM pairs GROUP BY cand_id HAVING count(*) >= 2 ORDER BY n_owners DESC, cand_id LIMIT 5) SELECT cand_id, c.business_name AS cand_name, c.business_address AS cand_addr, n_owners, s1_id, s.business_name AS s1_name, s.business_address AS s1_addr FROM top JOIN pairs USING (cand_id) LEFT JOIN records c ON cand_id = c.entity_id LEFT JOIN records s ON s1_id = s.entity_id")
+def owner_examples(spark, d):
+    """The five candidates of most owners, with both sides' text."""
+    return P.owner_examples(V.truth(spark, d), V.records(spark, d))
+
+
 @query(f"WITH {TRUTH}, r AS (SELECT source, country, entity_id IN (SELECT cand_id FROM truth) AS hit FROM records WHERE source <> 'S1') SELECT source, country, count(*) AS n, count(*) FILTER (NOT hit) AS n_unmatched, round(avg(CASE WHEN hit THEN 0 ELSE 1 END) * 100, 6) AS pct_unmatched FROM r GROUP BY ALL")
 def unmatched_share(spark, d):
     return P.unmatched_share(V.records(spark, d), V.truth(spark, d))
@@ -236,7 +246,7 @@ def top_addr_tokens(spark, d):
     return P.top_tokens(V.records(spark, d), "business_address", 20)
 
 
-@query()
+@query(f"WITH t AS ({_top_sql('business_name', 10)}) SELECT place, " + ", ".join(f"max(token || ' (' || format('{{:.1f}}', pct) || '%)') FILTER (country = '{c}') AS \"{c}\"" for c in ("de", "en", "es", "fr")) + " FROM t GROUP BY place")
 def top_tokens_side_by_side(spark, d):
     return P.top_tokens_pivot(P.top_tokens(V.records(spark, d), "business_name", 10), ["de", "en", "es", "fr"])
 
@@ -250,6 +260,11 @@ def singleton_near_miss(spark, d):
 # ---------------------------------------------------------------- normalization
 
 
+@query(f"WITH {RECORDS} SELECT entity_id, strip_accents(business_name) AS name FROM records")
+def fold_accents(spark, d):
+    return V.records(spark, d).select("entity_id", T.fold_accents(F.col("business_name")).alias("name"))
+
+
 @query()
 def normalize_records(spark, d):
     return Z.normalize(V.records(spark, d))
@@ -410,9 +425,16 @@ def recall_at_k(spark, d):
     return R.recall_at(_ranks(spark, d), [1, 5, 20])
 
 
-@query(f"WITH {_RANKS} SELECT s1_id, cand_id FROM ranks WHERE k IS NULL")
+@query(f"WITH {ITEMS}, {_b4(50)}, {ITEM_TRUTH} SELECT t.s1_id, t.cand_id, s.country, split_part(t.cand_id, '-', 1) AS cand_source FROM item_truth t JOIN items s ON t.s1_id = s.entity_id LEFT JOIN (SELECT * FROM b4 WHERE rank_b4 <= 10) b ON t.s1_id = b.s1_id AND t.cand_id = b.cand_id WHERE rank_b4 IS NULL")
 def missed_pairs(spark, d):
-    return _ranks(spark, d).where("rank IS NULL").select("s1_id", "cand_id")
+    """What the numeric blocker alone misses (the union misses nothing here)."""
+    found = B.block_numeric(V.items(spark, d)).withColumnRenamed("rank_b4", "rank")
+    return R.missed(R.truth_ranks(found, V.item_truth(spark, d), _item_s1(spark, d)))
+
+
+@query(f"WITH {_RANKS} SELECT (SELECT count(*) FROM cands) AS n_pairs, count(k) AS n_hit, round(100.0 * count(k) / (SELECT count(*) FROM cands), 6) AS pct_candidates_true, count(*) - count(k) AS n_missed FROM ranks")
+def candidates_true(spark, d):
+    return R.true_share(_ranks(spark, d), _candidates(spark, d), _item_s1(spark, d))
 
 
 @query(f"WITH {_RANKS} SELECT count(*) AS n_s1, round(avg(whole::INT) * 100, 6) AS pct_fully_covered FROM (SELECT s1_id, bool_and(k IS NOT NULL) AS whole FROM ranks GROUP BY s1_id)")
@@ -422,8 +444,10 @@ def fully_covered(spark, d):
 
 # ---------------------------------------------------------------- features and scores
 
+_LIGHT = "len(list_filter(string_split(regexp_replace(lower({0}), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x IN (" + ", ".join(repr(w) for w in T.LIGHT_WORDS) + "))) / len(list_filter(string_split(regexp_replace(lower({0}), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> ''))"
+
 
-@query(f"WITH {ITEMS}, {ITEM_TRUTH}, f AS (SELECT t.*, a.name_core AS n1, b.name_core AS n2, a.addr_norm AS a1, b.addr_norm AS a2, a.postal AS p1, b.postal AS p2, a.digits AS d1, b.digits AS d2 FROM item_truth t JOIN items a ON s1_id = a.entity_id JOIN items b ON cand_id = b.entity_id), k AS (SELECT *, list_distinct(list_filter(string_split(regexp_replace(lower(n1), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')) AS x1, list_distinct(list_filter(string_split(regexp_replace(lower(n2), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')) AS x2, list_distinct(list_filter(string_split(regexp_replace(lower(a1), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')) AS y1, list_distinct(list_filter(string_split(regexp_replace(lower(a2), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')) AS y2 FROM f) SELECT s1_id, cand_id, round(1 - levenshtein(n1, n2) / greatest(length(n1), length(n2)), 6) AS f_str_name_edit, round(len(list_intersect(x1, x2)) / len(list_distinct(list_concat(x1, x2))), 6) AS f_str_name_jaccard, round(len(list_intersect(y1, y2)) / len(list_distinct(list_concat(y1, y2))), 6) AS f_str_addr_jaccard, (p1 = p2)::INT::DOUBLE AS f_str_postal_same, len(list_intersect(string_split(d1, ' '), string_split(d2, ' ')))::DOUBLE AS f_str_digits_shared FROM k")
+@query(f"WITH {ITEMS}, {ITEM_TRUTH}, f AS (SELECT t.*, a.name_core AS n1, b.name_core AS n2, a.addr_norm AS a1, b.addr_norm AS a2, a.postal AS p1, b.postal AS p2, a.digits AS d1, b.digits AS d2 FROM item_truth t JOIN items a ON s1_id = a.entity_id JOIN items b ON cand_id = b.entity_id), k AS (SELECT *, list_distinct(list_filter(string_split(regexp_replace(lower(n1), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')) AS x1, list_distinct(list_filter(string_split(regexp_replace(lower(n2), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')) AS x2, list_distinct(list_filter(string_split(regexp_replace(lower(a1), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')) AS y1, list_distinct(list_filter(string_split(regexp_replace(lower(a2), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')) AS y2 FROM f) SELECT s1_id, cand_id, round(1 - levenshtein(n1, n2) / greatest(length(n1), length(n2)), 6) AS f_str_name_edit, round(len(list_intersect(x1, x2)) / len(list_distinct(list_concat(x1, x2))), 6) AS f_str_name_jaccard, round(len(list_intersect(y1, y2)) / len(list_distinct(list_concat(y1, y2))), 6) AS f_str_addr_jaccard, (p1 = p2)::INT::DOUBLE AS f_str_postal_same, len(list_intersect(string_split(d1, ' '), string_split(d2, ' ')))::DOUBLE AS f_str_digits_shared, round(1 - greatest({_LIGHT.format('n1')}, {_LIGHT.format('n2')}), 6) AS f_str_name_weight FROM k")
 def features_string(spark, d):
     return X.string_features(V.item_truth(spark, d), V.items(spark, d))
 
@@ -433,9 +457,13 @@ def features_fuzzy(spark, d):
     return X.fuzzy_features(V.item_truth(spark, d), V.items(spark, d))
 
 
-@query(f"WITH {ITEMS}, {ITEM_TRUTH}, {_GRAMS.format(text='name_core')} SELECT t.s1_id, t.cand_id, round(coalesce(sim, 0), 6) AS f_vec_name_tfidf FROM item_truth t LEFT JOIN sims USING (s1_id, cand_id)")
+_NAME_SIMS = _GRAMS.format(text="name_core")
+_ADDR_SIMS = re.sub(r"\b(words|grams|tf|nn|idf|raw|norm|post|sims) AS \(", r"a_\1 AS (", re.sub(r"\b(FROM|JOIN) (words|grams|tf|nn|idf|raw|norm|post)\b", r"\1 a_\2", _GRAMS.format(text="addr_norm")))
+
+
+@query(f"WITH {ITEMS}, {ITEM_TRUTH}, {_NAME_SIMS}, {_ADDR_SIMS} SELECT t.s1_id, t.cand_id, round(coalesce(sims.sim, 0), 6) AS f_vec_name_tfidf, round(coalesce(a_sims.sim, 0), 6) AS f_vec_addr_tfidf FROM item_truth t LEFT JOIN sims USING (s1_id, cand_id) LEFT JOIN a_sims USING (s1_id, cand_id)")
 def features_vector(spark, d):
-    return X.vector_features(V.item_truth(spark, d), V.items(spark, d)).drop("f_vec_addr_tfidf")
+    return X.vector_features(V.item_truth(spark, d), V.items(spark, d))
 
 
 @query(f"WITH {_UNION} SELECT s1_id, cand_id, hits::DOUBLE AS f_ctx_hits, round(blend / max(blend) OVER (PARTITION BY s1_id), 6) AS f_ctx_relative, row_number() OVER (PARTITION BY s1_id ORDER BY round(blend, 6) DESC, cand_id)::DOUBLE AS f_ctx_rank, (count(*) OVER (PARTITION BY s1_id))::DOUBLE AS f_ctx_n, row_number() OVER (PARTITION BY cand_id ORDER BY round(blend, 6) DESC, s1_id)::DOUBLE AS f_ctx_back_rank, (count(*) OVER (PARTITION BY cand_id))::DOUBLE AS f_ctx_back_n FROM cands")
@@ -458,27 +486,30 @@ def synthetic_scores(spark, d):
     return S.synthetic_scores(V.scored_pairs(spark, d).withColumn("b", F.col("label").cast("double")), "p_final", "b").drop("fold")
 
 
+@query()
+def features_all(spark, d):
+    return X.build_features(_candidates(spark, d), V.items(spark, d), V.item_truth(spark, d))
+
+
 def _features(spark, d):
-    rows = V.scored_pairs(spark, d)
-    context = F.count(F.lit(1)).over(B.Window.partitionBy("s1_id")).cast("double")
-    return rows.select("s1_id", "cand_id", "label", F.col("p_final").alias("f_str_p"), context.alias("f_ctx_n"))
+    """All groups that need no Python, with labels."""
+    return materialize(X.build_features(_candidates(spark, d), V.items(spark, d), V.item_truth(spark, d), fuzzy=False), spark)
 
 
 @query()
 def gbt_oof(spark, d):
-    return S.train_oof(_features(spark, d), n_folds=2, rounds=3)[0]
+    return S.train_oof(_features(spark, d))[0]
 
 
 @query()
 def gbt_predict(spark, d):
     rows = _features(spark, d)
-    return S.predict(rows, S.train_oof(rows, n_folds=2, rounds=3)[1])
+    return S.predict(rows, S.train_oof(rows)[1])
 
 
 @query()
 def gbt_loco(spark, d):
-    half = F.when(F.substring("country", 2, 2).cast("int") < 12, "low").otherwise("high")
-    return S.train_loco(_features(spark, d), V.s1_table(spark, d).withColumn("country", half), ["high", "low"], rounds=3)
+    return S.loco_of(_features(spark, d), _item_s1(spark, d))[0]
 
 
 # ---------------------------------------------------------------- decisions, metric, search
@@ -533,6 +564,23 @@ def decide_full(spark, d):
     return _decide(spark, d, _FULL, SEEN)
 
 
+_ALL = re.sub(r"kept AS \(SELECT \* FROM joined WHERE (.*)\),", r"kept AS (SELECT *, \1 AS passes FROM joined),", _FULL_SQL.split("dec AS")[0]) + "flags AS (SELECT s1_id, cand_id, p, passes AND row_number() OVER (PARTITION BY cand_id ORDER BY passes DESC, p DESC, s1_ord) = 1 AS is_match FROM kept)"
+
+
+def _decisions(spark, d):
+    return D.decisions(V.scored_pairs(spark, d).drop("label"), V.s1_table(spark, d), _FULL, SEEN)
+
+
+@query(f"WITH {_ALL} SELECT s1_id, cand_id, round(p, 6) AS p_final, is_match FROM flags")
+def decisions_all(spark, d):
+    return _decisions(spark, d)
+
+
+@query(f"WITH {_ALL} SELECT count(*) AS n_pairs, count(*) FILTER (is_match) AS n_matches, count(DISTINCT s1_id) FILTER (is_match) AS n_s1_matched, (SELECT count(*) FROM s1) AS n_s1, (SELECT count(*) FROM scores WHERE s1_id NOT IN (SELECT s1_id FROM s1)) AS n_dropped FROM flags")
+def decision_stats(spark, d):
+    return D.decision_stats(_decisions(spark, d), V.scored_pairs(spark, d), V.s1_table(spark, d))
+
+
 @query("SELECT count(*) AS n_dropped FROM lineitem l ANTI JOIN (SELECT o_orderkey FROM orders JOIN nation ON o_custkey % 25 = n_nationkey WHERE n_regionkey > 0) o ON l.l_orderkey = o.o_orderkey")
 def decide_unknown_s1(spark, d):
     some = V.table(spark, d, "orders").join(V.table(spark, d, "nation"), F.col("o_custkey") % 25 == F.col("n_nationkey")).where("n_regionkey > 0").select(F.col("o_orderkey").alias("s1_id"))
@@ -550,7 +598,13 @@ def _labelled(spark, d):
 
 
 def _entities(spark, d):
-    return D.per_entity(_decide(spark, d, _FULL, SEEN), _labelled(spark, d), V.s1_table(spark, d))
+    """Decisions and truth in one pass over the scored pairs, which hold the label."""
+    return D.entities_of(V.scored_pairs(spark, d), V.s1_table(spark, d), _FULL, SEEN)
+
+
+@query(f"WITH {_ENTITY} SELECT round(avg(f05), 6) AS f05, round(avg(pr), 6) AS precision, round(avg(re), 6) AS recall, sum(n_pred)::BIGINT AS n_pairs, count(*) FILTER (n_pred > 0) AS n_s1 FROM ent")
+def search_evaluate(spark, d):
+    return D.evaluate(V.scored_pairs(spark, d).drop("label"), _labelled(spark, d), V.s1_table(spark, d), _FULL, SEEN)
 
 
 @query(f"WITH {_ENTITY} SELECT s1_id, country, tp, n_pred, n_true, round(f05, 6) AS f05 FROM ent")
@@ -598,15 +652,50 @@ def fold_scores(spark, d):
     return _entities(spark, d).join(known, "s1_id", "left_semi").groupBy((F.col("s1_ord") % 5).cast("int").alias("fold")).agg(F.count(F.lit(1)).alias("n"), F.avg("f05").alias("f05"))
 
 
-@query(f"WITH {_FULL_SQL}, w AS (SELECT coalesce(d.s1_id, t.s1_id) AS s1_id, coalesce(d.cand_id, t.cand_id) AS cand_id, CASE WHEN d.s1_id IS NULL THEN 'FN' ELSE 'FP' END AS error_type FROM dec d FULL JOIN (SELECT * FROM scores WHERE label = 1) t ON d.s1_id = t.s1_id AND d.cand_id = t.cand_id WHERE d.s1_id IS NULL OR t.s1_id IS NULL), r AS (SELECT w.*, round(p, 6) AS p_final, row_number() OVER (PARTITION BY error_type ORDER BY p DESC NULLS LAST, w.s1_id, w.cand_id)::INT AS place, p IS NOT NULL AS in_candidates FROM w LEFT JOIN scores USING (s1_id, cand_id)) SELECT * FROM r WHERE place <= 200")
+_A = ORACLES["search_stage_a"]
+
+
+@query(f"WITH a AS ({_A}) SELECT * FROM a ORDER BY f05 DESC, tau_gate, tau_pair LIMIT 1")
+def search_best(spark, d):
+    """The best setting of stage A, the first of equals."""
+    cells = rounded(D.search_stage_a(V.scored_pairs(spark, d).drop("label"), _labelled(spark, d), V.s1_table(spark, d)))
+    return cells.orderBy(F.desc("f05"), "tau_gate", "tau_pair").limit(1)
+
+
+_CONFIG = "# own\ndecide:\n  tau_gate: 0.5\n  other: 1 # kept\n  alpha: 0.25\n\nseed: 1\n"
+
+
+@query("SELECT unnest(['# own', 'decide:', '  tau_gate: 0.6', '  other: 1 # kept', '  alpha: 0.0', '  tau_pair: 0.55', '  tau_s2: null', '  tau_s3: 0.5', '  one_owner: true', '  min_p: 0.2', '', 'seed: 1', 'train_countries: [\"C1\", \"C2\"]', '']) AS line, unnest(range(1, 15)) AS place")
+def config_text(spark, d):
+    best = D.Params(tau_gate=0.6, tau_pair=0.55, tau_s2=0.55, tau_s3=0.5, one_owner=True)
+    lines = D.update_config_text(_CONFIG, D.config_updates(best), ["C1", "C2"]).split("\n")
+    return spark.createDataFrame([(line, i) for i, line in enumerate(lines, 1)], "line string, place long")
+
+
+@query(f"WITH {_FULL_SQL}, w AS (SELECT coalesce(d.s1_id, t.s1_id) AS s1_id, coalesce(d.cand_id, t.cand_id) AS cand_id, CASE WHEN d.s1_id IS NULL THEN 'FN' ELSE 'FP' END AS error_type FROM dec d FULL JOIN (SELECT * FROM scores WHERE label = 1) t ON d.s1_id = t.s1_id AND d.cand_id = t.cand_id WHERE d.s1_id IS NULL OR t.s1_id IS NULL), r AS (SELECT w.*, round(p, 6) AS p_final, row_number() OVER (PARTITION BY error_type ORDER BY p DESC NULLS LAST, w.s1_id, w.cand_id)::INT AS place, p IS NOT NULL AS in_candidates FROM w LEFT JOIN scores USING (s1_id, cand_id)) SELECT r.*, o_orderpriority AS s1_name, o_orderstatus AS s1_addr, s1.country, p_name AS cand_name, p_type AS cand_addr FROM r JOIN s1 USING (s1_id) JOIN orders ON s1_ord = o_orderkey LEFT JOIN part ON p_partkey = CAST(split_part(r.cand_id, '-', 2) AS BIGINT) // 10 WHERE place <= 200")
 def error_dump(spark, d):
-    return R.errors(_decide(spark, d, _FULL, SEEN), _labelled(spark, d), V.scored_pairs(spark, d), 200)
+    """The 200 highest errors of each type, with both sides' text."""
+    scores = V.scored_pairs(spark, d)
+    return R.errors(_decide(spark, d, _FULL, SEEN), _labelled(spark, d), 200, scores, V.pair_records(spark, d))
+
+
+_SUBMISSION = "sub AS (SELECT 'S1-' || c_custkey AS e, CASE c_custkey % 6 WHEN 0 THEN '' WHEN 1 THEN 'S2-' || c_custkey || ',S3-' || c_custkey WHEN 2 THEN 'S2-1,S2-1' WHEN 3 THEN 'S1-' || c_custkey WHEN 4 THEN 'x' || c_custkey ELSE 'S2-' || (c_custkey + 100000000) END AS ids FROM customer UNION ALL SELECT 'S1-' || s_suppkey, 'S3-' || s_suppkey FROM supplier UNION ALL SELECT NULL, r_name FROM region), parts AS (SELECT e, unnest(string_split(ids, ',')) AS id FROM sub WHERE ids <> '' AND e IS NOT NULL), given AS (SELECT e, count(*) AS n FROM sub WHERE e IS NOT NULL GROUP BY e), req AS (SELECT 'S1-' || o_orderkey AS e FROM orders), found AS (SELECT 'malformed_rows' AS rule, ids AS o FROM sub WHERE e IS NULL UNION SELECT 'duplicate_entities', e FROM given WHERE n > 1 UNION SELECT 'missing_entities', e FROM req WHERE e NOT IN (SELECT e FROM given) UNION SELECT 'unknown_entities', e FROM given WHERE e NOT IN (SELECT e FROM req) UNION SELECT 'repeated_ids', e FROM sub WHERE e IS NOT NULL AND len(list_distinct(string_split(ids, ','))) < len(string_split(ids, ',')) UNION SELECT 'self_matches', id FROM parts WHERE id LIKE 'S1-%' UNION SELECT 'bad_prefixes', id FROM parts WHERE NOT regexp_matches(id, '^S[123]-') UNION SELECT 'unknown_ids', id FROM parts WHERE regexp_matches(id, '^S[23]-') AND substr(id, 4) NOT IN (SELECT p_partkey::VARCHAR FROM part) UNION SELECT 'match_not_candidate', e FROM parts WHERE NOT (id LIKE 'S2-%' AND e = 'S1-' || substr(id, 4))), shown AS (SELECT rule, string_agg(o, ', ' ORDER BY o) AS examples FROM (SELECT *, row_number() OVER (PARTITION BY rule ORDER BY o) AS k FROM found) WHERE k <= 3 GROUP BY rule)"
 
 
-@query("SELECT unnest(['duplicate_entities', 'missing_entities', 'unknown_entities', 'repeated_ids', 'self_matches', 'bad_prefixes']) AS rule, 'error' AS level, unnest([0, (SELECT count(*) FROM orders WHERE o_orderkey NOT IN (SELECT c_custkey FROM customer)), 0, (SELECT count(*) FROM customer), 0, 0])::BIGINT AS n")
+@query(f"WITH {_SUBMISSION}, rules AS (SELECT unnest([{', '.join(repr(r) for r in R.RULES)}]) AS rule) SELECT rule, CASE rule WHEN 'match_not_candidate' THEN 'warning' ELSE 'error' END AS level, count(o) AS n, coalesce(any_value(examples), '') AS examples FROM rules LEFT JOIN found USING (rule) LEFT JOIN shown USING (rule) GROUP BY rule")
 def validate_matching(spark, d):
-    lists = _lists(spark, d).select(F.concat(F.lit("S1-"), F.col("k").cast("string")).alias("source1_entity_id"), F.col("ids").alias("matched_entity_ids"))
-    return R.validate_lists(lists, V.s1_table(spark, d).select("s1_id"), "matched_entity_ids")
+    """A submission with every kind of fault, by all rules."""
+    k = F.col("c_custkey").cast("string")
+    kind = F.col("c_custkey") % 6
+    ids = F.when(kind == 0, "").when(kind == 1, F.concat(F.lit("S2-"), k, F.lit(",S3-"), k)).when(kind == 2, "S2-1,S2-1").when(kind == 3, F.concat(F.lit("S1-"), k)).when(kind == 4, F.concat(F.lit("x"), k)).otherwise(F.concat(F.lit("S2-"), (F.col("c_custkey") + 100_000_000).cast("string")))
+    lists = V.table(spark, d, "customer").select(F.concat(F.lit("S1-"), k).alias("source1_entity_id"), ids.alias("matched_entity_ids"))
+    key = F.col("s_suppkey").cast("string")
+    lists = lists.unionByName(V.table(spark, d, "supplier").select(F.concat(F.lit("S1-"), key).alias("source1_entity_id"), F.concat(F.lit("S3-"), key).alias("matched_entity_ids")))
+    lists = lists.unionByName(V.table(spark, d, "region").select(F.lit(None).cast("string").alias("source1_entity_id"), F.col("r_name").alias("matched_entity_ids")))
+    part = F.col("p_partkey").cast("string")
+    known = V.table(spark, d, "part").select(F.explode(F.array(F.concat(F.lit("S2-"), part), F.concat(F.lit("S3-"), part))).alias("entity_id"))
+    own = V.table(spark, d, "customer").select(F.concat(F.lit("S1-"), k).alias("s1_id"), F.concat(F.lit("S2-"), k).alias("cand_id"))
+    return R.validate_lists(lists, V.s1_table(spark, d).select("s1_id"), "matched_entity_ids", known, own)
 
 
 @query(f"WITH {SCORES} SELECT 'match_not_candidate' AS rule, 'warning' AS level, count(*) FILTER (p < 0.5) AS n FROM scores")

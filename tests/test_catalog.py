@@ -11,7 +11,6 @@ from skein.plans import catalog
 FOLDER = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables")
-QUICK = ["read_sources_union", "id_checks", "parse_ids", "match_stats", "noise_rates", "pair_text_flags", "name_core", "addr_canonical", "block_name_tfidf", "block_numeric_fallback", "union_blockers", "blocking_by_country", "decide_full", "score_breakdown", "search_stage_a", "error_dump"]
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +25,7 @@ def plain(rows):
     return sorted(tuple("" if v is None else f"{v:.6g}" if isinstance(v, float) else str(v) for v in r) for r in rows)
 
 
-@pytest.mark.parametrize("name", QUICK)
+@pytest.mark.parametrize("name", sorted(set(catalog.ORACLES) - {"recall_at_k"}))  # the smallest tables hold no true pair to recall
 def test_query(spark, db, name):
     df = catalog.QUERIES[name](spark, FOLDER)
     columns = sorted(df.columns)
@@ -41,17 +40,74 @@ def test_entry(spark):
 
 
 def test_models(spark):
-    assert catalog.QUERIES["gbt_oof"](spark, FOLDER).where("p_final NOT BETWEEN 0 AND 1").count() == 0
-    assert catalog.QUERIES["gbt_loco"](spark, FOLDER).select("holdout_country").distinct().count() == 2
+    from pyspark.sql import functions as F
+
+    from skein.operators import scoring
+
+    rows = spark.range(600).select(F.concat(F.lit("S1-"), (F.col("id") % 90).cast("string")).alias("s1_id"), F.concat(F.lit("S2-"), F.col("id").cast("string")).alias("cand_id"), F.rand(3).alias("f_str_a"), F.rand(4).alias("f_str_b"))
+    rows = scoring.materialize(rows.withColumn("label", (F.col("f_str_a") > 0.6).cast("int")), spark)
+    scores, models = scoring.train_oof(rows, 3, (1, 2), 40)
+    assert len(models) == 6 and scores.count() == 600 and scores.where("p_final NOT BETWEEN 0 AND 1").count() == 0
+    noise = rows.withColumn("label", (F.rand(5) > 0.5).cast("int"))
+    assert all(m.getNumTrees < 40 for m in scoring.train_oof(scoring.materialize(noise, spark), 2, (1,), 40)[1])  # the loss on the held fold stops them
+    held = scores.join(rows, ["s1_id", "cand_id"])
+    assert held.where("(p_final > 0.5) = (label = 1)").count() > 570
+    assert held.groupBy("s1_id").agg(F.count_distinct("fold").alias("n")).where("n > 1").count() == 0
+    assert scoring.predict(rows, models).count() == 600
+    s1 = rows.select("s1_id").distinct().withColumn("country", F.when(F.crc32("s1_id") % 2 == 0, "A").otherwise("B"))
+    loco, failed = scoring.loco_of(rows, s1, 5)
+    assert failed == {} and {r[0] for r in loco.select("holdout_country").distinct().collect()} == {"A", "B"} and loco.count() == 600
+    one_class = rows.withColumn("label", F.lit(1))
+    assert scoring.loco_of(one_class, s1.withColumn("country", F.lit("A")))[0] is None
+    texts = rows.select("s1_id", "cand_id", F.lit("x").alias("a"), F.col("cand_id").alias("b")).where("label = 1")
+
+    def model(parts):
+        for a, b in parts:
+            yield [float(x != y) for x, y in zip(a, b, strict=True)]
+
+    both = scoring.with_cross_encoder(scores, texts, model)
+    assert both.where("p_ce = 1 AND abs(p_final - (p_lgbm + 1) / 2) < 1e-9").count() == texts.count() and both.where("p_ce IS NULL AND p_final = p_lgbm").count() == 600 - texts.count()
 
 
 def test_incremental_linker(spark, tmp_path):
-    from skein.operators.decide import Params
+    """Entities and candidates that are split over batches are decided as if all pairs had come at once."""
+    from skein.operators.decide import Params, decisions
     from skein.sources import views
-    from skein.streaming.linker import start_linker
+    from skein.streaming.linker import current_decisions, start_linker
 
-    pairs = views.scored_pairs(spark, FOLDER).drop("label")
-    pairs.write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(pairs.schema).parquet(str(tmp_path / "in"))
-    start_linker(stream, views.s1_table(spark, FOLDER), Params(), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "out")).count() == catalog.D.decide(pairs, views.s1_table(spark, FOLDER), Params()).count()
+    pairs, s1 = views.scored_pairs(spark, FOLDER).drop("label"), views.s1_table(spark, FOLDER)
+    params = Params(one_owner=True, alpha=0.7)
+    for part in range(3):
+        pairs.where(f"pmod(crc32(cand_id || s1_id), 3) = {part}").write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(pairs.schema).parquet(str(tmp_path / "in"))
+        start_linker(stream, s1, params, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    want = decisions(pairs, s1, params)
+    got = current_decisions(spark, str(tmp_path / "out"))
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+
+
+def test_encoder_plugin(spark):
+    from skein.operators import blocking
+
+    rows = spark.createDataFrame([("S1-1", "S1", "X", "aab", ""), ("S2-1", "S2", "Y", "aabb", ""), ("S3-1", "S3", "X", "zz", "y"), ("S2-2", "S2", "X", None, None)], "entity_id string, source string, country string, name_core string, addr_norm string")
+
+    def encode(batches):
+        for texts in batches:
+            yield [[float(t.count(c)) for c in "abyz"] for t in texts]
+
+    assert [tuple(r)[:3] for r in blocking.block_texts(rows, encode).collect()] == [("S1-1", "S2-1", 1)]
+
+
+def test_text_blocking_without_frequent_grams(spark):
+    """The bound leaves frequent grams out, and finds the same neighbours as joining everything."""
+    from skein.operators import blocking
+
+    items = catalog.V.items(spark, FOLDER)
+    few = {tuple(r)[:3] for r in blocking.block_tfidf(items, "name_core", 3, "r", "s", frequent=4).collect()}
+    assert few == {tuple(r)[:3] for r in blocking.block_tfidf(items, "name_core", 3, "r", "s", frequent=10**9).collect()}
+
+
+def test_feature_groups(spark):
+    found = catalog.QUERIES["features_all"](spark, FOLDER)
+    assert {c.split("_")[1] for c in found.columns if c.startswith("f_")} == {"str", "vec", "ctx"} and "f_str_name_tset" in found.columns
+    assert found.count() == catalog._candidates(spark, FOLDER).count() and found.where("label NOT IN (0, 1)").count() == 0
