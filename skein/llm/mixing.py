@@ -174,21 +174,29 @@ def taken_words(docs: DataFrame, seed: int = SEED) -> DataFrame:
     return placed.join(each, ["s", "place", "some"], "left").select("doc_id", "size", "source_size", "target", F.coalesce("n", F.lit(0)).cast("long").alias("taken"), "key", "source", F.col("first.shard").alias("shard"), F.col("first.ordinal").alias("ordinal"))
 
 
-def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
+def _identity(doc_id: Column, source: Column, key: Column) -> list[Column]:
+    """Two hashes, 128 bits, of what makes rows repeats of each other; never null."""
+    parts = [doc_id.isNull(), doc_id, source.isNull(), source, key]
+    return [F.xxhash64(*parts).alias("h1"), F.xxhash64(F.lit(SEED), *parts).alias("h2")]
+
+
+def mixed_documents(docs: DataFrame, seed: int = SEED, by_shard: bool = True) -> DataFrame:
     """The mix as documents: a row for each whole pass over a document, and one with its first words for a part.
 
-    Rows are laid out by shard, and within a shard shuffled by ordinal, each pass by an ordinal of its own; a document
-    that several shards share lies in the first. Repeated rows (same id, source and text) pool what is taken of them.
-    All columns are kept; n_chars follows the text.
+    Rows are laid out by shard (that takes one more shuffle of the texts; without by_shard a shard's rows lie in several
+    partitions), and within it shuffled by ordinal, each pass by an ordinal of its own; a document that several shards
+    share lies in the first. Repeated rows (same id, source and text) pool what is taken of them. All columns are kept;
+    n_chars follows the text.
     """
-    each = taken_words(docs, seed).groupBy("doc_id", "key", "source", "size").agg(F.sum("taken").alias("taken"), F.min(F.struct("shard", "ordinal")).alias("first")).where("taken > 0")
-    own = F.struct(F.col("doc_id").cast("long").alias("i"), F.col("source").cast("string").alias("s"))
-    rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("words"), own.alias("own"), F.xxhash64("text").alias("hash"))
-    met = rows.join(each, F.col("own.i").eqNullSafe(F.col("doc_id")) & F.col("own.s").eqNullSafe(F.col("source")) & (F.col("hash") == F.col("key"))).dropDuplicates(["doc_id", "source", "key"])
+    each = taken_words(docs, seed).select(*_identity(F.col("doc_id"), F.col("source"), F.col("key")), "size", "taken", F.struct("shard", "ordinal").alias("first"))
+    each = each.groupBy("h1", "h2").agg(F.max("size").alias("size"), F.sum("taken").alias("taken"), F.min("first").alias("first")).where("taken > 0")
+    rows = docs.select(F.struct("*").alias("row"), *_identity(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.xxhash64("text")))
+    met = rows.join(each, ["h1", "h2"]).dropDuplicates(["h1", "h2"])
     copies = met.withColumn("pass", F.explode(F.expr("sequence(1L, (taken + size - 1) div size)")))
-    rest = F.expr("taken - (pass - 1) * size")
-    pieces = F.slice(F.split("words", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"), F.lit(1), rest.cast("int"))
-    copies = copies.withColumn("words", F.when(rest >= F.col("size"), F.col("words")).otherwise(F.array_join(pieces, "")))
-    laid = copies.withColumn("place", F.xxhash64("first.ordinal", "pass")).repartition("first.shard").sortWithinPartitions("first.shard", "place")
-    changed = {"text": F.col("words")} | ({"n_chars": F.char_length("words").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    rest, text = F.expr("taken - (pass - 1) * size"), F.col("row.text")
+    pieces = F.slice(F.split(text, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"), F.lit(1), rest.cast("int"))
+    copies = copies.withColumn("place", F.xxhash64("first.ordinal", "pass"))
+    laid = (copies.repartition("first.shard") if by_shard else copies).sortWithinPartitions("first.shard", "place")
+    new = F.when(rest >= F.col("size"), text).otherwise(F.array_join(pieces, ""))
+    changed = {"text": new} | ({"n_chars": F.char_length(new).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
     return laid.select([changed[c].alias(c) if c in changed else F.col("row").getField(c).alias(c) for c in docs.columns])
