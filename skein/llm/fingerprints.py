@@ -20,7 +20,7 @@ from .common import discard, free_name, hex16, materialize, words
 
 SHINGLE, K = 5, 128
 #: Rows of a range of ids, and ranges at most, that with_next() deals rows to.
-RANGE_ROWS, MOST_RANGES = 512, 1 << 16
+RANGE_ROWS, MOST_RANGES = 2048, 1 << 16
 
 
 def shingle_hashes(word_hashes: Column, size: int = SHINGLE) -> Column:
