@@ -33,7 +33,8 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed_documents(docs)
+    """Shuffled within partitions; laying whole shards out takes another shuffle of all texts, beyond the disk that a stage may use."""
+    return mixing.mixed_documents(docs, by_shard=False)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
