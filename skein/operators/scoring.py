@@ -96,41 +96,37 @@ def predict(features: DataFrame, models: list[GBTClassificationModel]) -> DataFr
     return rows.select("s1_id", "cand_id", _mean(names).alias("p_lgbm"), F.lit(None).cast("double").alias("p_ce"), _mean(names).alias("p_final"))
 
 
-def train_loco(features: DataFrame, s1: DataFrame, countries: list[str], rounds: int = 40, failed: dict[str, str] | None = None) -> DataFrame:
-    """Scores of each country by a model of the others; needs two countries.
+def train_loco(features: DataFrame, s1: DataFrame, countries: list[str], rounds: int = 40) -> DataFrame:
+    """Scores of each country by a model of all other pairs, those without a country too; needs two countries.
 
-    There is no fold to watch, so the number of trees is fixed. With a dict for failed, a country whose model can't be
-    fitted (one class among the others, say) is left out and noted there."""
+    There is no fold to watch, so the number of trees is fixed. A model that can't be fitted is an error that names its
+    country: the scores of some countries never pass for those of all."""
     if len(countries) < 2:
         raise ValueError("leave-one-country-out needs two countries")
     columns, spark, parts = feature_columns(features), features.sparkSession, []
-    rows = materialize(_assembled(features.join(s1.select("s1_id", "country"), "s1_id"), columns).select("s1_id", "cand_id", "country", "label", "_features"), spark)
+    rows = materialize(_assembled(features.drop("country").join(s1.select("s1_id", "country"), "s1_id", "left"), columns).select("s1_id", "cand_id", "country", "label", "_features"), spark)
 
-    def fit(country: str) -> GBTClassificationModel | Exception:
+    def fit(country: str) -> GBTClassificationModel:
         try:
-            return _classifier(42, rounds, False).fit(rows.where(F.col("country") != country))
+            return _classifier(42, rounds, False).fit(rows.where(~F.col("country").eqNullSafe(country)))
         except Exception as error:
-            if failed is None:
-                raise
-            return error
+            raise RuntimeError(f"no model without country {country}: {error}") from error
 
     for country, model in zip(countries, _fitted([functools.partial(fit, country) for country in countries]), strict=True):
-        if isinstance(model, Exception):
-            failed[country] = str(model)
-            continue
         parts.append(_scored(model, rows.where(F.col("country") == country), "p").select("s1_id", "cand_id", F.col("p").alias("p_lgbm"), F.col("p").alias("p_final"), F.lit(country).alias("holdout_country")))
-    if not parts:
-        raise ValueError(f"no country could be held out: {failed}")
     out = materialize(functools.reduce(DataFrame.unionByName, parts), spark)
     discard(rows)
     return out
 
 
 def loco_of(features: DataFrame, s1: DataFrame, rounds: int = 40) -> tuple[DataFrame | None, dict[str, str]]:
-    """(scores, failures by country) over all countries of s1 that features have (a few values); None below two."""
+    """(scores, countries without scores) over all countries of s1 that features have (a few values).
+
+    Below two countries there are no scores, and the second part says so of the only one; a fit that fails is an error."""
     known = sorted(r[0] for r in s1.join(features.select("s1_id").distinct(), "s1_id", "left_semi").select("country").distinct().where("country IS NOT NULL").collect())
-    failed: dict[str, str] = {}
-    return (train_loco(features, s1, known, rounds, failed) if len(known) > 1 else None), failed
+    if len(known) < 2:
+        return None, dict.fromkeys(known, "leave-one-country-out needs two countries")
+    return train_loco(features, s1, known, rounds), {}
 
 
 def with_cross_encoder(scores: DataFrame, texts: DataFrame, score: Callable[[Iterator[tuple[list[str], list[str]]]], Iterator[list[float]]], weight: float = 0.5, batch: int = 512) -> DataFrame:

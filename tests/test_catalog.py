@@ -69,6 +69,38 @@ def test_models(spark):
     assert both.where("p_ce = 1 AND abs(p_final - (p_lgbm + 1) / 2) < 1e-9").count() == texts.count() and both.where("p_ce IS NULL AND p_final = p_lgbm").count() == 600 - texts.count()
 
 
+def test_no_country_left_out_for_a_failure(spark, monkeypatch):
+    """A fit that fails is an error that names its country, not a result without it; pairs without a country are learned from."""
+    from pyspark.sql import functions as F
+
+    from skein.operators import scoring
+
+    rows = spark.range(60).select(F.concat(F.lit("S1-"), "id").alias("s1_id"), F.concat(F.lit("S2-"), "id").alias("cand_id"), (F.col("id") / 60).alias("f_str_a"), (F.col("id") % 2).cast("int").alias("label"))
+    s1 = rows.select("s1_id", F.element_at(F.array(F.lit("A"), F.lit("B"), F.lit(None)), (F.substring("s1_id", 4, 9).cast("int") % 3 + 1)).alias("country"))
+    real, seen = scoring._classifier, []
+
+    class Fits:
+        def __init__(self, *given):
+            self.real = real(*given)
+
+        def fit(self, rows):
+            found = {r.country: r["count"] for r in rows.groupBy("country").count().collect()}
+            seen.append(found)
+            if "A" not in found and fails:
+                raise OSError("an executor was lost")
+            return self.real.fit(rows)
+
+    monkeypatch.setattr(scoring, "_classifier", Fits)
+    fails = False
+    scores, lacking = scoring.loco_of(rows, s1, 2)
+    assert lacking == {} and {r.holdout_country: r["count"] for r in scores.groupBy("holdout_country").count().collect()} == {"A": 20, "B": 20}
+    assert len(seen) == 2 and all({c: 20, None: 20} in seen for c in "AB")
+    fails = True
+    with pytest.raises(RuntimeError, match="country A: an executor was lost"):
+        scoring.loco_of(rows, s1, 2)
+    assert scoring.loco_of(rows, s1.where("country = 'A'"), 2) == (None, {"A": "leave-one-country-out needs two countries"})
+
+
 def test_incremental_linker(spark, tmp_path):
     """Entities and candidates that are split over batches are decided as if all pairs had come at once."""
     from skein.operators.decide import Params, decisions
