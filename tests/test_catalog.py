@@ -77,28 +77,45 @@ def test_no_country_left_out_for_a_failure(spark, monkeypatch):
 
     rows = spark.range(60).select(F.concat(F.lit("S1-"), "id").alias("s1_id"), F.concat(F.lit("S2-"), "id").alias("cand_id"), (F.col("id") / 60).alias("f_str_a"), (F.col("id") % 2).cast("int").alias("label"))
     s1 = rows.select("s1_id", F.element_at(F.array(F.lit("A"), F.lit("B"), F.lit(None)), (F.substring("s1_id", 4, 9).cast("int") % 3 + 1)).alias("country"))
-    real, seen = scoring._classifier, []
+    real = scoring.boosting
 
-    class Fits:
-        def __init__(self, *given):
-            self.real = real(*given)
+    def boosting(*given):
+        run = real(*given)
 
-        def fit(self, rows):
-            found = {r.country: r["count"] for r in rows.groupBy("country").count().collect()}
-            seen.append(found)
-            if "A" not in found and fails:
-                raise OSError("an executor was lost")
-            return self.real.fit(rows)
+        def broken(batches):
+            raise OSError("an executor was lost")
+            yield from run(batches)
 
-    monkeypatch.setattr(scoring, "_classifier", Fits)
+        return broken if fails else run
+
+    monkeypatch.setattr(scoring, "boosting", boosting)
     fails = False
     scores, lacking = scoring.loco_of(rows, s1, 2)
     assert lacking == {} and {r.holdout_country: r["count"] for r in scores.groupBy("holdout_country").count().collect()} == {"A": 20, "B": 20}
-    assert len(seen) == 2 and all({c: 20, None: 20} in seen for c in "AB")
     fails = True
-    with pytest.raises(RuntimeError, match="country A: an executor was lost"):
+    with pytest.raises(Exception, match="an executor was lost"):
         scoring.loco_of(rows, s1, 2)
     assert scoring.loco_of(rows, s1.where("country = 'A'"), 2) == (None, {"A": "leave-one-country-out needs two countries"})
+    cells = scoring.Cells(rows.join(s1, "s1_id"), ["f_str_a"], "country", ["A", "B"])
+    assert cells.rows.selectExpr("sum(_n)", "sum(_n - _n0)", "sum(_n - _n1)").first()[:] == (60, 40, 40)  # a country's model learns from pairs without one too
+
+
+def test_fits_count_equal_pairs(spark, monkeypatch):
+    """Copies of pairs make no more work for a fit, count each, and tasks that add up their sums give trees that part the values where the labels change."""
+    from pyspark.sql import functions as F
+
+    from skein.operators import scoring
+
+    base = F.col("id") % 100
+    rows = spark.range(3000).select((base / 10).alias("f_str_a"), (base % 7).cast("double").alias("f_str_b"), (base >= 37).cast("int").alias("label"), (F.col("id") % 2).alias("fold"))
+    monkeypatch.setattr(scoring, "TASK_ROWS", 40)
+    cells = scoring.Cells(rows, ["f_str_a", "f_str_b"], "fold", [0, 1])
+    assert cells.rows.count() <= 100 and cells.tasks > 1 and cells.rows.agg(F.sum("_n")).first()[0] == 3000
+    models = cells.fit([(0, 1), (1, 1)], 30, False)
+    assert [m.getNumTrees for m in models] == [30, 30]
+    for model in models:
+        found = scoring._scored(model, scoring._assembled(rows, ["f_str_a", "f_str_b"]), "p")
+        assert found.where("(p > 0.5) = (label = 1)").count() >= 2940  # ranges hold three values each
 
 
 def test_incremental_linker(spark, tmp_path):
